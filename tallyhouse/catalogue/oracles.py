@@ -118,7 +118,8 @@ SELECT ip, count(*) AS request_count FROM web_logs
 GROUP BY ip ORDER BY request_count DESC, ip LIMIT 10""",
     "count_by_method": f"""WITH {WEB_LOGS}
 SELECT method, count(*) AS method_count FROM web_logs GROUP BY method""",
-    "error_count": f"""WITH {WEB_LOGS}
+    "error_count": "SELECT count(*) AS error_count FROM events WHERE event_type = 'error'",
+    "not_found_count": f"""WITH {WEB_LOGS}
 SELECT count(*) AS "404_count" FROM web_logs WHERE response_code = 404""",
     "bytes_by_day": f"WITH {DAILY} SELECT * FROM daily ORDER BY date",
     "daily_stats": f"""WITH {DAILY}

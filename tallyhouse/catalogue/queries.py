@@ -65,6 +65,12 @@ def count_by_method(spark, sf_dir):
 
 @query
 def error_count(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    return count_where(events, F.col("event_type") == "error", "error_count")
+
+
+@query
+def not_found_count(spark, sf_dir):
     return weblogs.not_found_count(web_logs(spark, sf_dir))
 
 
@@ -100,7 +106,7 @@ def csv_logs(spark, sf_dir):
 
 
 def _requests(spark, sf_dir):
-    return access_log_lines(spark, sf_dir).select(*access_log_fields(F.col("value")))
+    return access_log_fields(access_log_lines(spark, sf_dir))
 
 
 @query

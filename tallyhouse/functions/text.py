@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Positions of the access-log fields, counted from 1.
@@ -22,14 +22,18 @@ def without_quotes(column: Column) -> Column:
     return F.translate(column, '"', "")
 
 
-def access_log_fields(line: Column) -> list[Column]:
-    """client, method and url of one access-log line; NULL where there is none.
+def access_log_fields(lines: DataFrame, line: str = "value") -> DataFrame:
+    """client, method and url of each access-log line; NULL where there is none.
 
     One split serves all three, and it stops after the last field needed.
     """
-    parts = _whitespace_parts(line, URL_FIELD + 1)
-    return [
-        F.nullif(F.get(parts, F.lit(CLIENT_FIELD - 1)), F.lit("")).alias("client"),
-        without_quotes(F.get(parts, F.lit(METHOD_FIELD - 1))).alias("method"),
-        F.nullif(F.get(parts, F.lit(URL_FIELD - 1)), F.lit("")).alias("url"),
-    ]
+    parts = lines.select(_whitespace_parts(F.col(line), URL_FIELD + 1).alias("parts"))
+
+    def field(n):
+        return F.get("parts", F.lit(n - 1))
+
+    return parts.select(
+        F.nullif(field(CLIENT_FIELD), F.lit("")).alias("client"),
+        without_quotes(field(METHOD_FIELD)).alias("method"),
+        F.nullif(field(URL_FIELD), F.lit("")).alias("url"),
+    )

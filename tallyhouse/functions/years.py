@@ -9,8 +9,11 @@ DAY_FORMAT = "yyyy-MM-dd"
 
 
 def realistic_year(year: Column, current_year: int) -> Column:
-    """EARLIEST_YEAR < year < current_year, both strict; the year comes from the caller."""
-    return (year > EARLIEST_YEAR) & (year < current_year)
+    """EARLIEST_YEAR < year < current_year for a whole year, both strict; NULL is not.
+
+    The current year comes from the caller, so a query gives the same rows next year.
+    """
+    return year.between(EARLIEST_YEAR + 1, current_year - 1)
 
 
 def decade(year: Column) -> Column:

@@ -5,16 +5,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyhouse.session import stage
 
-def new_rows(df: DataFrame, existing: DataFrame, key: str) -> DataFrame:
+
+def known_keys(
+    df: DataFrame, existing: DataFrame, key: str, *, buckets: int | None = None
+) -> DataFrame:
+    """Keys of df that occur in `existing`.
+
+    The big table is met by the distinct keys of the batch alone, one narrow row each
+    however often a key repeats. When it is bucketed by the key, give the number of
+    buckets: the batch keys are then laid out to match and the table is not shuffled.
+    """
+    keys = df.select(key).filter(F.col(key).isNotNull()).distinct()
+    if buckets:
+        keys = keys.repartition(buckets, key)
+    return existing.select(key).join(keys, key, "left_semi")
+
+
+def new_rows(
+    df: DataFrame, existing: DataFrame, key: str, *, buckets: int | None = None
+) -> DataFrame:
     """Rows of df whose key does not occur in `existing`; NULL keys are left out.
 
-    Repeats of a new key stay. The big table is met by the batch's distinct keys
-    alone, one narrow row each however often a key repeats; its keys are not
-    shuffled when it is bucketed by them. The full rows then meet only the keys found
-    on both sides, which AQE broadcasts when they turn out small and otherwise
-    joins with its skew splitting.
+    Repeats of a new key stay. The keys found on both sides are written out first,
+    so Spark joins the full rows with a table whose size it knows: it broadcasts a
+    small one, and beyond that shuffles both sides, where AQE splits a hot key.
     """
-    batch = df.filter(F.col(key).isNotNull())
-    known = existing.select(key).join(batch.select(key).distinct(), key, "left_semi")
-    return batch.join(known, key, "left_anti")
+    known = stage(known_keys(df, existing, key, buckets=buckets), "known-keys")
+    return df.filter(F.col(key).isNotNull()).join(known, key, "left_anti")

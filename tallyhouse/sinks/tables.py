@@ -39,10 +39,17 @@ def load_new_rows(df: DataFrame, table: str, key: str = "house_id") -> int:
     Rows with a NULL key are left out, as the table's key is not nullable. Repeats
     of a new key inside the batch all go in, as they do at the source.
     """
+    spark = df.sparkSession
     loaded = Observation()
-    fresh = new_rows(df, df.sparkSession.table(table), key)
+    fresh = new_rows(df, spark.table(table), key, buckets=_bucket_count(spark, table))
     # Rebalancing by key keeps each writing task to a few buckets, and AQE cuts a
     # partition that one hot key has swollen into several tasks.
     fresh = fresh.hint("rebalance", F.col(key)).observe(loaded, F.count(F.lit(1)).alias("n"))
     append_by_name(fresh, table)
     return loaded.get["n"]
+
+
+def _bucket_count(spark: SparkSession, table: str) -> int | None:
+    described = spark.sql(f"DESCRIBE EXTENDED {table}").filter("col_name = 'Num Buckets'")
+    found = described.head()
+    return int(found.data_type) if found else None

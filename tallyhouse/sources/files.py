@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tallyhouse.functions.text import access_log_fields
@@ -55,7 +54,7 @@ def read_parquet(spark: SparkSession, path, schema: StructType | None = None) ->
 
 def read_access_log(spark: SparkSession, path) -> DataFrame:
     """Raw access-log text as (client, method, url), one row per line, blank lines too."""
-    return spark.read.text(path).select(*access_log_fields(F.col("value")))
+    return access_log_fields(spark.read.text(path))
 
 
 def first_rows(df: DataFrame, n: int, *order: Column | str) -> DataFrame:

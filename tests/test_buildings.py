@@ -1,0 +1,235 @@
+from __future__ import annotations
+
+import pytest
+from conftest import one, rows
+from fixtures import houses, write_register_csv
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from tallyhouse.functions.cleaning import text_to_float, text_to_int
+from tallyhouse.functions.years import decade
+from tallyhouse.plans import buildings
+from tallyhouse.sinks.tables import append_by_name, create_houses_table, load_new_rows
+from tallyhouse.sources.files import read_parquet, read_utf16_csv
+
+YEAR = 2025
+
+
+@pytest.fixture(scope="module")
+def cleaned(spark):
+    return buildings.clean_register(houses(spark)).cache()
+
+
+@pytest.fixture(scope="module")
+def realistic(cleaned):
+    return buildings.realistic_years(cleaned, YEAR)
+
+
+def column(df, name):
+    return [row[0] for row in df.orderBy("house_id").select(name).collect()]
+
+
+def test_cleaned_values(cleaned):
+    assert column(cleaned, "maintenance_year") == [
+        1953, 1957, 1961, 1961, 1969, 205, None, 1970, 2025,
+    ]
+    assert [s and round(s, 1) for s in column(cleaned, "square")] == [
+        585.6, 1234.5, None, 100, 100, 50, 60, None, 70,
+    ]
+    assert column(cleaned, "population") == [18, None, None, 5, 6, 1, 1, 1, 1]
+    assert column(cleaned, "communal_service_id") == [7, None, 8, 9, 9, 9, 9, 9, 9]
+
+
+def test_cleaned_types(cleaned):
+    kinds = dict(cleaned.dtypes)
+    assert kinds["maintenance_year"] == kinds["population"] == "int"
+    assert kinds["square"] == "float"
+
+
+@pytest.mark.parametrize(
+    ("text", "whole", "number", "number_without_spaces"),
+    [
+        ("1953.7", 1953, 1953.7, 1953.7),
+        ("-5", -5, -5.0, -5.0),
+        ("1 000", None, None, 1000.0),
+        ("1e3", None, 1000.0, 1000.0),
+        ("NaN", None, None, None),
+        ("—", None, None, None),
+        ("", None, None, None),
+        ("abc", None, None, None),
+        (None, None, None, None),
+        ("99999999999", None, 99999999999.0, 99999999999.0),
+    ],
+)
+def test_text_to_number(spark, text, whole, number, number_without_spaces):
+    x = F.col("x")
+    result = one(
+        spark.createDataFrame([(text,)], "x string").select(
+            text_to_int(x), text_to_float(x), text_to_float(x, strip_spaces=True)
+        )
+    )
+    assert result[0] == whole
+    assert result[1] == (number and pytest.approx(number))
+    assert result[2] == (number_without_spaces and pytest.approx(number_without_spaces))
+
+
+def test_spaces_in_whole_numbers_on_request(spark):
+    df = spark.createDataFrame([("1 000",)], "x string")
+    assert one(df.select(text_to_int(F.col("x"), strip_spaces=True))) == (1000,)
+
+
+def test_realistic_years_are_strict_on_both_sides(spark, realistic):
+    assert column(realistic, "house_id") == [1, 2, 3, 4, 5, 8]
+    edges = spark.createDataFrame([(1000,), (1001,), (2024,), (2025,)], "maintenance_year int")
+    assert rows(buildings.realistic_years(edges, YEAR)) == [(1001,), (2024,)]
+
+
+def test_year_statistics(spark, cleaned):
+    assert one(buildings.year_statistics(cleaned, YEAR)) == (1962.0, 1961.0)
+    none = cleaned.filter("house_id > 100")
+    assert one(buildings.year_statistics(none, YEAR)) == (None, None)
+
+
+def test_top_regions_and_localities(realistic):
+    assert rows(buildings.top_regions(realistic)) == [("R1", 3), ("R2", 2), (None, 1)]
+    assert rows(buildings.top_localities(realistic)) == [
+        ("T1", 2),
+        ("T2", 2),
+        ("Неизвестно", 2),
+    ]
+
+
+def test_missing_locality_stays_apart_from_its_label(spark):
+    df = spark.createDataFrame(
+        [("Неизвестно",), (None,), (None,)], "locality_name string"
+    )
+    assert rows(buildings.top_localities(df)) == [("Неизвестно", 2), ("Неизвестно", 1)]
+
+
+def test_square_extremes_break_ties_by_address(realistic):
+    found = {r: v for r, *v in rows(buildings.square_extremes(realistic))}
+    assert found["R1"] == ["a1", pytest.approx(585.6), "a2", 1234.5]
+    assert found["R2"] == ["b1", 100.0, "b1", 100.0]
+    assert set(found) == {"R1", "R2"}
+
+
+def test_extremes_skip_nan_and_take_a_known_address(spark):
+    data = [("R", float("nan"), "x"), ("R", 1.0, None), ("R", 1.0, "b"), ("R", 1.0, "c")]
+    df = spark.createDataFrame(data, "region string, square float, address string")
+    assert rows(buildings.square_extremes(df)) == [("R", "b", 1.0, "b", 1.0)]
+
+
+def test_widest_regions(realistic):
+    found = [(r["region"], r["square_difference"]) for r in buildings.widest_regions(realistic).collect()]
+    assert found == [("R1", pytest.approx(648.9, rel=1e-6)), ("R2", 0.0)]
+    assert dict(buildings.widest_regions(realistic).dtypes)["square_difference"] == "float"
+
+
+def test_decades(spark, realistic):
+    assert rows(buildings.buildings_by_decade(realistic)) == [(1970, 1), (1960, 3), (1950, 2)]
+    assert rows(buildings.decades_since(realistic, 1960)) == [(1960, 3), (1970, 1)]
+    df = spark.createDataFrame([(-5,), (1999,)], "y int")
+    assert rows(df.select(decade(F.col("y")))) == [(-10,), (1990,)]
+
+
+def test_top_buildings_excludes_the_bound_and_nan(spark, cleaned):
+    assert column_order(buildings.top_buildings(cleaned)) == [2, 1, 4, 5, 9]
+    with_nan = cleaned.withColumn(
+        "square", F.when(F.col("house_id") == 8, F.lit(float("nan"))).otherwise(F.col("square"))
+    )
+    assert column_order(buildings.top_buildings(with_nan)) == [2, 1, 4, 5, 9]
+
+
+def column_order(df):
+    return [row["house_id"] for row in df.collect()]
+
+
+def test_quality_of_the_register(spark):
+    assert one(buildings.check_register(houses(spark))) == (9, 0, 0)
+
+
+@pytest.fixture
+def warehouse(spark, tmp_path):
+    name = "houses_under_test"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    create_houses_table(spark, name, buckets=4, location=str(tmp_path / "houses"))
+    yield name
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_second_load_adds_only_new_keys(spark, cleaned, warehouse):
+    assert load_new_rows(cleaned, warehouse) == 9
+    again = cleaned.filter("house_id = 2").unionByName(
+        cleaned.filter("house_id = 1").withColumn("house_id", F.lit(10).cast("long"))
+    )
+    assert load_new_rows(again, warehouse) == 1
+    assert load_new_rows(again, warehouse) == 0
+    assert column(spark.table(warehouse), "house_id") == list(range(1, 11))
+
+
+def test_load_drops_null_keys_and_keeps_repeats_of_new_ones(spark, cleaned, warehouse):
+    three = cleaned.filter("house_id = 3")
+    batch = three.unionByName(three).unionByName(
+        three.withColumn("house_id", F.lit(None).cast("long"))
+    )
+    assert load_new_rows(batch, warehouse) == 2
+
+
+def test_append_matches_columns_by_name(spark, cleaned, warehouse):
+    append_by_name(cleaned.select(*reversed(cleaned.columns)), warehouse)
+    stored = spark.table(warehouse).filter("house_id = 5").head()
+    assert (stored.region, stored.address, stored.population) == ("R2", "b1", 6)
+
+
+def test_warehouse_types(spark, warehouse):
+    create_houses_table(spark, warehouse)
+    kinds = dict(spark.table(warehouse).dtypes)
+    assert kinds["population"] == kinds["communal_service_id"] == kinds["house_id"] == "bigint"
+    assert (kinds["square"], kinds["maintenance_year"]) == ("float", "int")
+
+
+def test_utf16_register_with_newline_in_a_field(spark, tmp_path):
+    df = read_utf16_csv(spark, write_register_csv(tmp_path / "register.csv"))
+    # A CSV file cannot tell an empty text from a missing one; Spark reads both as NULL.
+    written = [tuple(None if v == "" else v for v in row) for row in rows(houses(spark))]
+    assert sorted(rows(df)) == written
+
+
+def test_utf16_register_read_by_many_tasks(spark, tmp_path):
+    path = write_register_csv(tmp_path / "register.csv", newline_in_field=False)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "150")
+    try:
+        df = read_utf16_csv(spark, path, newlines_in_fields=False)
+        assert df.rdd.getNumPartitions() > 5
+        found = {r.house_id: (r.square, r.address) for r in df.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert found == {
+        r.house_id: (r.square, r.address.replace("\n", " ")) for r in houses(spark).collect()
+    }
+
+
+def test_whole_analysis(spark, tmp_path):
+    results = buildings.run_all(
+        spark,
+        write_register_csv(tmp_path / "register.csv"),
+        str(tmp_path / "work"),
+        YEAR,
+        table="houses_run_all",
+        buckets=2,
+        location=str(tmp_path / "table"),
+    )
+    assert one(results["rows"]) == (9,)
+    assert one(results["quality"]) == (9, 0, 0)
+    assert one(results["year_statistics"]) == (1962.0, 1961.0)
+    assert rows(results["top_regions"]) == [("R1", 3), ("R2", 2), (None, 1)]
+    assert rows(results["buildings_by_decade"]) == [(1970, 1), (1960, 3), (1950, 2)]
+    assert column_order(results["top_buildings"]) == [2, 1, 4, 5, 9]
+    assert spark.table("houses_run_all").count() == 9
+    spark.sql("DROP TABLE houses_run_all")
+
+
+def test_missing_parquet_is_an_error(spark, tmp_path):
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        read_parquet(spark, str(tmp_path / "nothing"))

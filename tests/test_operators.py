@@ -1,0 +1,188 @@
+from __future__ import annotations
+
+from unittest.mock import MagicMock
+
+import pytest
+from conftest import one, rows
+from fixtures import PEOPLE, STAFF
+from pyspark.sql import functions as F
+
+from tallyhouse.operators.counts import count_by, distinct_count, top_rows
+from tallyhouse.operators.extremes import extreme_rows_by_group
+from tallyhouse.operators.keys import new_rows
+from tallyhouse.operators.quality import duplicate_groups, empty_rows, quality_report
+from tallyhouse.plans import staff
+from tallyhouse.sinks.jdbc import write_jdbc
+from tallyhouse.sources.files import first_rows
+from tallyhouse.sources.jdbc import read_jdbc
+from tallyhouse.sources.schemas import EMPLOYEES
+from tallyhouse.sources.schemas import PEOPLE as PEOPLE_SCHEMA
+from tallyhouse.sources.tables import read_view
+
+
+@pytest.fixture
+def employees(spark):
+    return spark.createDataFrame(STAFF, EMPLOYEES)
+
+
+@pytest.fixture
+def people(spark):
+    return spark.createDataFrame(PEOPLE, PEOPLE_SCHEMA)
+
+
+QUALITY = [(1, None), (1, None), (1, None), (2, "a"), (None, "b")]
+
+
+def test_quality_checks(spark):
+    df = spark.createDataFrame(QUALITY, "x int, y string")
+    assert one(empty_rows(df)) == (1,)
+    assert one(duplicate_groups(df)) == (1,)
+    assert one(quality_report(df)) == (5, 1, 1)
+    assert one(quality_report(df.filter("x > 5"))) == (0, 0, 0)
+
+
+def test_a_column_may_be_named_count_or_hold_a_dot(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "a")], "count int, `a.b` string")
+    assert one(duplicate_groups(df)) == (1,)
+    assert one(quality_report(df)) == (2, 0, 1)
+
+
+def test_long_text_is_compared_whole(spark):
+    long = "x" * 5000
+    texts = [long, long, long + "y", "", None, None, "é" * 40, "é" * 40]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert one(duplicate_groups(df)) == (3,)
+
+
+def test_text_equal_to_a_digest_is_not_its_source(spark):
+    long = "z" * 100
+    df = spark.createDataFrame([(long,)], "t string")
+    digest = df.select(F.sha2("t", 256).alias("t"))
+    assert one(duplicate_groups(df.unionByName(digest))) == (0,)
+
+
+def test_duplicates_agree_with_plain_grouping(spark):
+    df = spark.range(3000).select(
+        (F.col("id") % 700).alias("a"),
+        F.repeat(F.lit("w"), (F.col("id") % 90).cast("int")).alias("b"),
+    )
+    plain = df.groupBy("a", "b").count().filter("count > 1").count()
+    assert one(duplicate_groups(df)) == (plain,)
+
+
+def test_null_is_a_group_but_not_a_distinct_value(spark):
+    df = spark.createDataFrame([("a",), (None,), (None,)], "k string")
+    assert dict(rows(count_by(df, "k"))) == {"a": 1, None: 2}
+    assert one(distinct_count(df, "k")) == (1,)
+
+
+def test_top_rows_put_null_last(spark):
+    df = spark.createDataFrame([(None, 1), (5, 2), (5, None), (3, 3)], "m int, t int")
+    assert rows(top_rows(df, 3, "m", "t")) == [(5, 2), (5, None), (3, 3)]
+
+
+def test_extreme_rows_match_brute_force(spark):
+    data = [(i % 5 or None, (i * 37) % 11, f"n{i % 7}", i) for i in range(300)]
+    df = spark.createDataFrame(data, "g int, v int, n string, id int")
+    known = [r for r in data if r[0] is not None]
+    for largest in (False, True):
+        sign = -1 if largest else 1
+        expected = {
+            g: min((r for r in known if r[0] == g), key=lambda r: (sign * r[1], r[2], r[3]))
+            for g in range(1, 5)
+        }
+        found = rows(extreme_rows_by_group(df, "g", "v", "n", "id", largest=largest))
+        assert {r[0]: r for r in found} == expected
+
+
+def test_new_rows_with_one_key_in_a_third_of_the_batch(spark):
+    batch = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 50 != 1, F.col("id")).alias("k"),
+        F.col("id").alias("v"),
+    )
+    existing = spark.range(0, 1500).select(F.col("id").alias("k"))
+    expected = sorted((k, v) for k, v in rows(batch) if k is not None and k >= 1500)
+    assert sorted(rows(new_rows(batch, existing, "k"))) == expected
+    without_hot = existing.filter("k != 7")
+    expected = sorted((k, v) for k, v in rows(batch) if k is not None and (k >= 1500 or k == 7))
+    assert sorted(rows(new_rows(batch, without_hot, "k"))) == expected
+
+
+def test_new_rows_against_an_empty_table(spark):
+    batch = spark.createDataFrame([(1,), (None,), (1,)], "k int")
+    assert rows(new_rows(batch, batch.filter("k > 5"), "k")) == [(1,), (1,)]
+
+
+def test_staff_filters(spark, employees):
+    assert staff.at_least(employees, "salary", 60000).count() == 3
+    assert staff.at_least(employees, "salary", 65000).count() == 2
+    assert sorted(rows(staff.at_least_by_sql(employees, "salary", 65000, "staff_view"))) == sorted(
+        rows(staff.at_least(employees, "salary", 65000))
+    )
+    sql = "SELECT name FROM {staff} WHERE salary >= 90000"
+    assert rows(read_view(spark, sql, staff=employees)) == [("Ben",)]
+
+
+def test_people(people):
+    assert staff.with_value(people, "Profession", "Engineer").count() == 2
+    ages = [r.Age for r in staff.sorted_descending(people.select("Name", "Age"), "Age", "Name").collect()]
+    assert ages == [35, 30, 28, 25, 22]
+    assert [r.Name for r in first_rows(people, 2, "Name").collect()] == ["Ann", "Ben"]
+
+
+# No database may be started here, so these check what Spark's JDBC source is asked for.
+
+PROPERTIES = {"user": "u", "driver": "d"}
+
+
+def test_jdbc_single_connection():
+    session = MagicMock()
+    read_jdbc(session, "url", "t", PROPERTIES)
+    session.read.jdbc.assert_called_once_with(
+        "url", "t", properties={"fetchsize": "10000", **PROPERTIES}
+    )
+
+
+def test_jdbc_parallel_read():
+    session = MagicMock()
+    read_jdbc(
+        session,
+        "url",
+        "t",
+        PROPERTIES,
+        partition_column="id",
+        lower_bound=0,
+        upper_bound=100,
+        num_partitions=4,
+        fetch_size=50,
+    )
+    session.read.jdbc.assert_called_once_with(
+        "url",
+        "t",
+        column="id",
+        lowerBound=0,
+        upperBound=100,
+        numPartitions=4,
+        properties={"fetchsize": "50", **PROPERTIES},
+    )
+
+
+def test_jdbc_read_by_predicates():
+    session = MagicMock()
+    read_jdbc(session, "url", "t", PROPERTIES, predicates=["a = 1", "a <> 1"])
+    assert session.read.jdbc.call_args.kwargs["predicates"] == ["a = 1", "a <> 1"]
+    with pytest.raises(ValueError):
+        read_jdbc(session, "url", "t", PROPERTIES, predicates=["a"], partition_column="id")
+    with pytest.raises(ValueError):
+        read_jdbc(session, "url", "t", PROPERTIES, partition_column="id")
+
+
+def test_jdbc_overwrite():
+    df = MagicMock()
+    write_jdbc(df, "url", "t", PROPERTIES, keep_definition=True)
+    df.write.mode.assert_called_once_with("overwrite")
+    writer = df.write.mode.return_value.option
+    writer.assert_called_once_with("truncate", True)
+    writer.return_value.option.return_value.option.return_value.jdbc.assert_called_once_with(
+        "url", "t", properties=PROPERTIES
+    )

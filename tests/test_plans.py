@@ -1,0 +1,158 @@
+"""What the physical plans must and must not contain."""
+
+from __future__ import annotations
+
+import re
+
+import pytest
+from conftest import plan_of
+from fixtures import bought, houses, logs
+from pyspark.sql import functions as F
+
+import __spark_entry__ as contract
+from tallyhouse.operators.extremes import extreme_rows_by_group
+from tallyhouse.operators.keys import known_keys, new_rows
+from tallyhouse.operators.quality import empty_rows
+from tallyhouse.plans import accesslog, buildings, purchases, staff, weblogs
+from tallyhouse.session import shared_folder
+from tallyhouse.sinks.tables import create_houses_table, load_new_rows
+from tallyhouse.sources.files import read_access_log
+
+SF_DIR = "/root/testdata/sf0.001"
+QUERIES = contract.queries()
+
+
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    """The fixtures as Parquet, so that scans show in the plans."""
+    folder = tmp_path_factory.mktemp("stored")
+    tables = {
+        "cleaned": buildings.clean_register(houses(spark)),
+        "logs": logs(spark),
+        "bought": bought(spark),
+    }
+    for name, df in tables.items():
+        df.write.parquet(str(folder / name))
+    return {name: spark.read.parquet(str(folder / name)) for name in tables}
+
+
+@pytest.mark.parametrize("name", QUERIES)
+def test_no_python_rows_and_no_cartesian_join(spark, name):
+    plan = plan_of(QUERIES[name](spark, SF_DIR))
+    assert not re.search(r"Python|Pandas|CartesianProduct|NestedLoopJoin", plan)
+
+
+@pytest.mark.parametrize(
+    "name",
+    [
+        "top_clients",
+        "most_active_day",
+        "least_active_day",
+        "access_log_top_url",
+        "top_regions",
+        "top_localities_labelled",
+        "spread_top20",
+        "top_by_size",
+        "busiest_category",
+    ],
+)
+def test_top_k_never_sorts_everything(spark, name):
+    plan = plan_of(QUERIES[name](spark, SF_DIR))
+    assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan
+
+
+def test_filters_reach_the_scan(stored):
+    expected = [
+        (buildings.realistic_years(stored["cleaned"], 2025), "GreaterThanOrEqual(maintenance_year,1001)"),
+        (buildings.top_buildings(stored["cleaned"]), "GreaterThan(square,60.0)"),
+        (weblogs.not_found_count(stored["logs"]), "EqualTo(response_code,404)"),
+        (purchases.expensive_purchases(stored["bought"], 1.0), "GreaterThanOrEqual(price,1.0)"),
+        (staff.at_least_by_sql(stored["bought"], "quantity", 3, "v"), "GreaterThanOrEqual(quantity,3)"),
+        (empty_rows(stored["cleaned"]), "IsNull(house_id)"),
+    ]
+    for df, pushed in expected:
+        assert pushed in plan_of(df)
+
+
+def read_schema(df):
+    return re.findall(r"ReadSchema: struct<(.*?)>", plan_of(df))
+
+
+def test_only_needed_columns_are_read(stored):
+    cleaned = stored["cleaned"]
+    assert read_schema(buildings.register_rows(cleaned)) == [""]
+    assert read_schema(empty_rows(cleaned)) == ["house_id:bigint"]
+    assert read_schema(buildings.year_statistics(cleaned, 2025)) == ["maintenance_year:int"]
+    assert read_schema(weblogs.top_clients(stored["logs"])) == ["ip:string"]
+    assert read_schema(buildings.square_extremes(cleaned)) == [
+        "square:float,region:string,address:string"
+    ]
+
+
+def test_extremes_are_one_aggregate(stored):
+    for df in (
+        buildings.square_extremes(stored["cleaned"]),
+        extreme_rows_by_group(stored["cleaned"], "region", "square", "house_id"),
+    ):
+        plan = plan_of(df)
+        assert plan.count("Exchange") == 1 and "partial_min_by" in plan
+        assert "Window" not in plan and "Join" not in plan
+
+
+def test_access_log_is_parsed_in_one_scan(spark, tmp_path):
+    (tmp_path / "log").write_text("a b c d e f g\n")
+    plan = plan_of(accesslog.report(read_access_log(spark, str(tmp_path / "log"))))
+    assert plan.count("FileScan") == 1 and plan.count("split(") == 1
+
+
+def test_top_k_over_counts_adds_up_before_the_shuffle(stored):
+    plan = plan_of(weblogs.top_clients(stored["logs"]))
+    assert "partial_count" in plan and plan.count("Exchange") == 1
+
+
+def test_load_leaves_the_bucketed_table_where_it_is(spark, stored, tmp_path):
+    create_houses_table(spark, "houses_plan", buckets=3, location=str(tmp_path / "t"))
+    load_new_rows(stored["cleaned"], "houses_plan")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        table = spark.table("houses_plan")
+        keys = plan_of(known_keys(stored["cleaned"], table, "house_id", buckets=3))
+        fresh = plan_of(new_rows(stored["cleaned"], table, "house_id", buckets=3))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.sql("DROP TABLE houses_plan")
+    left, right = keys.split("LeftSemi")[1].split("\n   +- ", 1)
+    assert "Bucketed: true" in left and "Exchange" not in left
+    assert "Exchange hashpartitioning(house_id" in right
+    # Both sides of the second join are shuffles, which is what AQE needs to split a hot key.
+    assert "LeftAnti" in fresh and fresh.count("Exchange hashpartitioning") == 2
+
+
+def test_second_scan_of_the_item_lists_is_reused(spark):
+    df = QUERIES["items_by_category"](spark, SF_DIR)
+    df.collect()
+    assert "ReusedExchange" in plan_of(df)
+
+
+def test_shared_folder_is_the_one_the_session_names(spark):
+    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_a_cluster_without_shared_folder_is_an_error(spark):
+    class Cluster:
+        conf = type("Conf", (), {"get": staticmethod(lambda key, default: None)})
+        sparkContext = type("Context", (), {"master": "yarn"})
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(Cluster)
+
+
+def test_sorted_result_is_cut_by_both_sort_columns(spark):
+    plan = plan_of(QUERIES["select_sorted"](spark, SF_DIR))
+    assert re.search(r"rangepartitioning\(c_acctbal#\d+ DESC NULLS LAST, c_name", plan)
+
+
+def test_no_query_is_a_sample(spark):
+    counted = QUERIES["row_count"](spark, SF_DIR).head()[0]
+    assert counted == spark.read.parquet(f"{SF_DIR}/lineitem.parquet").agg(F.count("*")).head()[0]
