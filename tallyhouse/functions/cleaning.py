@@ -8,36 +8,29 @@ from pyspark.sql import functions as F
 # Fixed values
 MISSING_MARK = "—"
 UNKNOWN_LABEL = "Неизвестно"
-NUMBER_LETTERS = "eEdDfF"
+WHOLE_NUMBER = r"^\s*[+-]?\d+(\.\d*)?\s*$"
 
-
-def _present(column: Column) -> Column:
-    """Text worth casting.
-
-    The cast gives NULL for the rest too, but by throwing and catching an exception
-    per value, which takes longer than all else here; missing values are common.
-    """
-    return ~column.isin(MISSING_MARK, "")
+# try_cast gives NULL for bad text by throwing and catching an exception per value,
+# which takes longer than all else here, and missing values are common: both functions
+# therefore look at the text first. They name their column few times, because a filter
+# on the result, once pushed below the cleaning, repeats the whole expression.
 
 
 def text_to_float(column: Column, *, strip_spaces: bool = False) -> Column:
     """32-bit float; text that is no number, and the text NaN, become NULL."""
     text = _without_spaces(column) if strip_spaces else column
-    number = F.when(_present(column), text.try_cast("float"))
+    number = F.when(~column.isin(MISSING_MARK, ""), text.try_cast("float"))
     return F.nullif(number, F.lit(float("nan")))
 
 
 def text_to_int(column: Column, *, strip_spaces: bool = False) -> Column:
     """32-bit int, dropping a fraction ('1953.0' is 1953).
 
-    Inner spaces are kept unless asked otherwise, so '1 000' is no number. Nor is
-    text with an exponent or a type letter a whole number, though a double may have one.
+    Inner spaces are kept unless asked otherwise, so '1 000' is no number; nor is
+    text with an exponent.
     """
     text = _without_spaces(column) if strip_spaces else column
-    whole = _present(column)
-    for letter in NUMBER_LETTERS:
-        whole &= ~F.contains(column, F.lit(letter))
-    return F.when(whole, text.try_cast("double").try_cast("int"))
+    return F.when(text.rlike(WHOLE_NUMBER), F.substring_index(text, ".", 1).try_cast("int"))
 
 
 def _without_spaces(column: Column) -> Column:

@@ -12,11 +12,17 @@ from tallyhouse.operators.counts import top_rows
 
 
 def _known(df: DataFrame, group: str, measure: str) -> DataFrame:
-    """Rows with a group and a number to compare; NaN is none."""
-    rows = df.filter(F.col(measure).isNotNull() & F.col(group).isNotNull())
+    """Rows with a group and a number to compare.
+
+    NaN is none. Spark orders it above infinity, so one comparison drops it along
+    with NULL.
+    """
+    value = F.col(measure)
     if df.schema[measure].dataType in (T.FloatType(), T.DoubleType()):
-        rows = rows.filter(~F.isnan(measure))
-    return rows
+        comparable = value <= F.lit(float("inf"))
+    else:
+        comparable = value.isNotNull()
+    return df.filter(comparable & F.col(group).isNotNull())
 
 
 def _rank(measure: Column, ties: Sequence[str]) -> Column:
