@@ -82,7 +82,8 @@ def numbered_rows(houses: DataFrame) -> DataFrame:
 
 def direct_median(houses: DataFrame) -> DataFrame:
     known = buildings.realistic_years(houses, 2002)
-    return known.agg(F.round(F.mean("maintenance_year"), 0), F.round(F.median("maintenance_year"), 0))
+    year = F.col("maintenance_year")
+    return known.agg(F.round(F.mean(year), 0), F.round(F.median(year), 0))
 
 
 def whole_row_duplicates(texts: DataFrame) -> DataFrame:
@@ -140,7 +141,8 @@ def main() -> None:
     for name, (ours, replaced, table) in PAIRS.items():
         small, large = (seconds(ours, sizes[n][table]) for n in sizes)
         other = f"{seconds(replaced, sizes[copies][table]):.2f} s" if replaced else "—"
-        print(f"| {name} | {small:.2f} s | {large:.2f} s | x{large / small:.1f} | {other} |", flush=True)
+        growth = f"x{large / small:.1f}"
+        print(f"| {name} | {small:.2f} s | {large:.2f} s | {growth} | {other} |", flush=True)
     spark.stop()
 
 

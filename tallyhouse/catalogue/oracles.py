@@ -18,7 +18,8 @@ DAILY = (
     WEB_LOGS
     + r""",
 daily AS (
-  SELECT strftime(ts, '%Y-%m-%d') AS date, CAST(sum(response_size) AS BIGINT) AS total_response_size
+  SELECT strftime(ts, '%Y-%m-%d') AS date,
+         CAST(sum(response_size) AS BIGINT) AS total_response_size
   FROM web_logs GROUP BY 1)"""
 )
 
@@ -135,13 +136,15 @@ SELECT * FROM daily ORDER BY total_response_size, date LIMIT 1""",
 SELECT method, count(*) AS method_count FROM web_logs WHERE response_code = 404 GROUP BY method""",
     "access_log_summary": f"""WITH {REQUESTS}
 SELECT count(*) AS requests, count(DISTINCT client) AS clients,
-       count(*) FILTER (WHERE method = 'GET') AS GET, count(*) FILTER (WHERE method = 'POST') AS POST,
+       count(*) FILTER (WHERE method = 'GET') AS GET,
+       count(*) FILTER (WHERE method = 'POST') AS POST,
        (SELECT url FROM top_url) AS top_url, (SELECT n FROM top_url) AS top_url_requests
 FROM requests""",
     "access_log_clients": f"""WITH {REQUESTS}
 SELECT count(DISTINCT client) AS clients FROM requests""",
     "access_log_methods": f"""WITH {REQUESTS}
-SELECT count(*) FILTER (WHERE method = 'GET') AS GET, count(*) FILTER (WHERE method = 'POST') AS POST
+SELECT count(*) FILTER (WHERE method = 'GET') AS GET,
+       count(*) FILTER (WHERE method = 'POST') AS POST
 FROM requests""",
     "access_log_top_url": f"WITH {REQUESTS} SELECT url, n FROM top_url",
     "access_log_report": f"""WITH {REQUESTS}
@@ -230,8 +233,9 @@ UNION ALL (SELECT 'busiest_category', category, CAST(units AS DOUBLE) FROM by_ca
     "long_names_upper": "SELECT upper(p_name) AS p_name FROM part WHERE length(p_name) > 3",
     "long_words_upper": """
 SELECT p_partkey,
-       array_to_string(list_transform(list_filter(string_split(p_name, ' '), lambda w: length(w) > 3),
-                                      lambda w: upper(w)), ' ') AS words
+       array_to_string(
+         list_transform(list_filter(string_split(p_name, ' '), lambda w: length(w) > 3),
+                        lambda w: upper(w)), ' ') AS words
 FROM part""",
     "select_sorted": """
 SELECT c_name, c_acctbal FROM customer WHERE c_mktsegment = 'BUILDING'

@@ -23,7 +23,9 @@ def count_by(df: DataFrame, key: str, name: str = "n") -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias(name))
 
 
-def distinct_count(df: DataFrame, column: str, name: str = "n", *, approximate: bool = False):
+def distinct_count(
+    df: DataFrame, column: str, name: str = "n", *, approximate: bool = False
+) -> DataFrame:
     """Distinct non-NULL values. Exact unless asked otherwise."""
     count = F.approx_count_distinct if approximate else F.count_distinct
     return df.agg(count(column).alias(name))

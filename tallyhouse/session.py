@@ -33,14 +33,14 @@ def shared_folder(spark: SparkSession) -> str:
     Only where it is unset and the session is local is a folder made on this machine;
     on a cluster that would be a different disk for each executor, so it is an error.
     """
-    folder = spark.conf.get(SHARED_FOLDER, None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {SHARED_FOLDER} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="tallyhouse-")
-    spark.conf.set(SHARED_FOLDER, folder)
-    return folder
+    context = spark.sparkContext
+    folder = spark.conf.get(SHARED_FOLDER, None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise RuntimeError(f"set {SHARED_FOLDER} to a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tallyhouse-"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

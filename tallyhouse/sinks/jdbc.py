@@ -19,7 +19,9 @@ def write_jdbc(
 
     `keep_definition` empties the existing table instead of dropping it, so that
     its column types and indexes stay. The number of connections is bounded, as
-    the database does not grow with the cluster.
+    the database does not grow with the cluster. Each task commits its rows in one
+    transaction; a task lost after its commit is run again, so give the table a key
+    where a repeated row would matter.
     """
     writer = (
         df.write.mode("overwrite")

@@ -6,7 +6,7 @@ from datetime import datetime
 
 from tallyhouse.sources.schemas import HOUSES_RAW, PURCHASES, WEB_LOGS
 
-NAN = float("nan")
+# Inputs whose results are known.
 
 # house_id, maintenance_year, square, population, region, locality_name, address, communal id
 HOUSES = [

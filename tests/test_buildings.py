@@ -120,9 +120,10 @@ def test_extremes_skip_nan_and_take_a_known_address(spark):
 
 
 def test_widest_regions(realistic):
-    found = [(r["region"], r["square_difference"]) for r in buildings.widest_regions(realistic).collect()]
+    widest = buildings.widest_regions(realistic)
+    found = rows(widest.select("region", "square_difference"))
     assert found == [("R1", pytest.approx(648.9, rel=1e-6)), ("R2", 0.0)]
-    assert dict(buildings.widest_regions(realistic).dtypes)["square_difference"] == "float"
+    assert dict(widest.dtypes)["square_difference"] == "float"
 
 
 def test_decades(spark, realistic):

@@ -125,8 +125,8 @@ def test_staff_filters(spark, employees):
 
 def test_people(people):
     assert staff.with_value(people, "Profession", "Engineer").count() == 2
-    ages = [r.Age for r in staff.sorted_descending(people.select("Name", "Age"), "Age", "Name").collect()]
-    assert ages == [35, 30, 28, 25, 22]
+    by_age = staff.sorted_descending(people.select("Name", "Age"), "Age", "Name")
+    assert [r.Age for r in by_age.collect()] == [35, 30, 28, 25, 22]
     assert [r.Name for r in first_rows(people, 2, "Name").collect()] == ["Ann", "Ben"]
 
 

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import re
 
+import fixtures
 import pytest
 from conftest import plan_of
-from fixtures import bought, houses, logs
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
@@ -27,9 +27,9 @@ def stored(spark, tmp_path_factory):
     """The fixtures as Parquet, so that scans show in the plans."""
     folder = tmp_path_factory.mktemp("stored")
     tables = {
-        "cleaned": buildings.clean_register(houses(spark)),
-        "logs": logs(spark),
-        "bought": bought(spark),
+        "cleaned": buildings.clean_register(fixtures.houses(spark)),
+        "logs": fixtures.logs(spark),
+        "bought": fixtures.bought(spark),
     }
     for name, df in tables.items():
         df.write.parquet(str(folder / name))
@@ -62,13 +62,14 @@ def test_top_k_never_sorts_everything(spark, name):
 
 
 def test_filters_reach_the_scan(stored):
+    cleaned, bought = stored["cleaned"], stored["bought"]
     expected = [
-        (buildings.realistic_years(stored["cleaned"], 2025), "GreaterThanOrEqual(maintenance_year,1001)"),
-        (buildings.top_buildings(stored["cleaned"]), "GreaterThan(square,60.0)"),
+        (buildings.realistic_years(cleaned, 2025), "GreaterThanOrEqual(maintenance_year,1001)"),
+        (buildings.top_buildings(cleaned), "GreaterThan(square,60.0)"),
         (weblogs.not_found_count(stored["logs"]), "EqualTo(response_code,404)"),
-        (purchases.expensive_purchases(stored["bought"], 1.0), "GreaterThanOrEqual(price,1.0)"),
-        (staff.at_least_by_sql(stored["bought"], "quantity", 3, "v"), "GreaterThanOrEqual(quantity,3)"),
-        (empty_rows(stored["cleaned"]), "IsNull(house_id)"),
+        (purchases.expensive_purchases(bought, 1.0), "GreaterThanOrEqual(price,1.0)"),
+        (staff.at_least_by_sql(bought, "quantity", 3, "v"), "GreaterThanOrEqual(quantity,3)"),
+        (empty_rows(cleaned), "IsNull(house_id)"),
     ]
     for df, pushed in expected:
         assert pushed in plan_of(df)
@@ -139,13 +140,31 @@ def test_shared_folder_is_the_one_the_session_names(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
-def test_a_cluster_without_shared_folder_is_an_error(spark):
-    class Cluster:
-        conf = type("Conf", (), {"get": staticmethod(lambda key, default: None)})
-        sparkContext = type("Context", (), {"master": "yarn"})
+class SessionWithoutFolder:
+    """A session in which the setting is absent, on a given master."""
 
+    def __init__(self, master):
+        self.conf = self.sparkContext = self
+        self.master, self.folder = master, None
+
+    def get(self, key, default):
+        return default
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def test_a_cluster_without_shared_folder_is_an_error():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        shared_folder(Cluster)
+        shared_folder(SessionWithoutFolder("yarn"))
+
+
+def test_a_local_session_without_shared_folder_gets_one_and_keeps_it():
+    session = SessionWithoutFolder("local[8]")
+    assert shared_folder(session) == shared_folder(session) == session.folder
 
 
 def test_sorted_result_is_cut_by_both_sort_columns(spark):

@@ -88,8 +88,10 @@ def test_long_strings(spark):
 
 
 def test_length_bound_repeats_and_code_points(spark):
-    df = spark.createDataFrame([("abc",), ("abcd",), ("abcd",), ("\U0001f600abc",), (None,)], "s string")
-    assert [r.s for r in strings.long_upper(df, "s").collect()] == ["ABCD", "ABCD", "\U0001f600ABC"]
+    texts = ["abc", "abcd", "abcd", "\U0001f600abc", None]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    found = [r.s for r in strings.long_upper(df, "s").collect()]
+    assert found == ["ABCD", "ABCD", "\U0001f600ABC"]
 
 
 def test_long_strings_within_a_row(spark):
