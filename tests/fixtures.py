@@ -80,7 +80,7 @@ def bought(spark, records=PURCHASED):
     return spark.createDataFrame(records, PURCHASES)
 
 
-def write_register_csv(path, *, newline_in_field: bool = True):
+def write_register_csv(path, *, newline_in_field: bool = True, little_endian: bool = True):
     """The register as one UTF-16 file, byte-order mark first, as the source delivers it."""
     header = ",".join(HOUSES_RAW.fieldNames())
 
@@ -93,5 +93,6 @@ def write_register_csv(path, *, newline_in_field: bool = True):
         return f'"{value}"' if "\n" in value or " " in value else value
 
     lines = [",".join(map(text, record)) for record in house_records()]
-    path.write_bytes(("\n".join([header, *lines]) + "\n").encode("utf-16"))
+    encoding = "utf-16-le" if little_endian else "utf-16-be"
+    path.write_bytes(("\ufeff" + "\n".join([header, *lines]) + "\n").encode(encoding))
     return str(path)

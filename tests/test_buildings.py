@@ -189,19 +189,26 @@ def test_warehouse_types(spark, warehouse):
     assert (kinds["square"], kinds["maintenance_year"]) == ("float", "int")
 
 
-def test_utf16_register_with_newline_in_a_field(spark, tmp_path):
-    df = read_utf16_csv(spark, write_register_csv(tmp_path / "register.csv"))
+@pytest.mark.parametrize("little_endian", [True, False])
+def test_utf16_register_with_newline_in_a_field(spark, tmp_path, little_endian):
+    path = write_register_csv(tmp_path / "register.csv", little_endian=little_endian)
+    df = read_utf16_csv(spark, path)
     # A CSV file cannot tell an empty text from a missing one; Spark reads both as NULL.
     written = [tuple(None if v == "" else v for v in row) for row in rows(houses(spark))]
     assert sorted(rows(df)) == written
 
 
-def test_utf16_register_read_by_many_tasks(spark, tmp_path):
-    path = write_register_csv(tmp_path / "register.csv", newline_in_field=False)
+@pytest.mark.parametrize("little_endian", [True, False])
+def test_utf16_register_read_by_many_tasks(spark, tmp_path, little_endian):
+    path = write_register_csv(
+        tmp_path / "register.csv", newline_in_field=False, little_endian=little_endian
+    )
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "150")
     try:
-        df = read_utf16_csv(spark, path, newlines_in_fields=False)
+        df = read_utf16_csv(
+            spark, path, newlines_in_fields=False, little_endian=little_endian
+        )
         assert df.rdd.getNumPartitions() > 5
         found = {r.house_id: (r.square, r.address) for r in df.collect()}
     finally:

@@ -36,6 +36,22 @@ def stored(spark, tmp_path_factory):
     return {name: spark.read.parquet(str(folder / name)) for name in tables}
 
 
+@pytest.fixture
+def settings(spark):
+    """Change session settings for one test."""
+    before = {}
+
+    def change(**values):
+        for name, value in values.items():
+            key = name.replace("__", ".")
+            before.setdefault(key, spark.conf.get(key))
+            spark.conf.set(key, value)
+
+    yield change
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
 @pytest.mark.parametrize("name", QUERIES)
 def test_no_python_rows_and_no_cartesian_join(spark, name):
     plan = plan_of(QUERIES[name](spark, SF_DIR))
@@ -111,18 +127,14 @@ def test_top_k_over_counts_adds_up_before_the_shuffle(stored):
     assert "partial_count" in plan and plan.count("Exchange") == 1
 
 
-def test_load_leaves_the_bucketed_table_where_it_is(spark, stored, tmp_path):
+def test_load_leaves_the_bucketed_table_where_it_is(spark, stored, settings, tmp_path):
     create_houses_table(spark, "houses_plan", buckets=3, location=str(tmp_path / "t"))
     load_new_rows(stored["cleaned"], "houses_plan")
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        table = spark.table("houses_plan")
-        keys = plan_of(known_keys(stored["cleaned"], table, "house_id", buckets=3))
-        fresh = plan_of(new_rows(stored["cleaned"], table, "house_id", buckets=3))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-        spark.sql("DROP TABLE houses_plan")
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    table = spark.table("houses_plan")
+    keys = plan_of(known_keys(stored["cleaned"], table, "house_id", buckets=3))
+    fresh = plan_of(new_rows(stored["cleaned"], table, "house_id", buckets=3))
+    spark.sql("DROP TABLE houses_plan")
     left, right = keys.split("LeftSemi")[1].split("\n   +- ", 1)
     assert "Bucketed: true" in left and "Exchange" not in left
     assert "Exchange hashpartitioning(house_id" in right
@@ -130,6 +142,27 @@ def test_load_leaves_the_bucketed_table_where_it_is(spark, stored, tmp_path):
     assert "LeftAnti" in fresh and fresh.count("Exchange hashpartitioning") == 2
 
 
+def test_hot_key_of_a_load_is_split(spark, settings, tmp_path):
+    settings(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__shuffle__partitions="16",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="64KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="64KB",
+    )
+    hot = F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id"))
+    text = F.sha2(F.col("id").cast("string"), 512)
+    spark.range(0, 60_000, 1, 8).select(hot.alias("k"), text.alias("t")).write.parquet(
+        str(tmp_path / "batch")
+    )
+    batch = spark.read.parquet(str(tmp_path / "batch"))
+    existing = batch.select("k").filter("k BETWEEN 0 AND 30000")
+    fresh = new_rows(batch, existing, "k").groupBy("t").agg(F.max("k").alias("k"))
+    assert fresh.count() == 40_000
+    final = fresh.select("t", "k")
+    final.collect()
+    assert "SortMergeJoin(skew=true)" in plan_of(final)
+
+
 def test_second_scan_of_the_item_lists_is_reused(spark):
     df = QUERIES["items_by_category"](spark, SF_DIR)
     df.collect()
