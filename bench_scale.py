@@ -17,6 +17,7 @@ import time
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyhouse.operators.counts import top_rows
 from tallyhouse.operators.extremes import extreme_rows_by_group
 from tallyhouse.operators.quality import duplicate_groups
 from tallyhouse.plans import buildings, purchases, weblogs
@@ -105,7 +106,7 @@ PAIRS = {
     "duplicate groups": (duplicate_groups, whole_row_duplicates, "texts"),
     "top regions": (buildings.top_regions, None, "houses"),
     "top 25 by size": (
-        lambda h: buildings.top_rows(h.filter("square > 60"), 25, "square", "house_id"),
+        lambda h: top_rows(h.filter("square > 60"), 25, "square", "house_id"),
         None,
         "houses",
     ),

@@ -12,8 +12,7 @@ from tallyhouse.operators.extremes import extremes_by_group, widest_spread
 from tallyhouse.operators.quality import quality_report
 from tallyhouse.sinks.files import write_parquet
 from tallyhouse.sinks.tables import create_houses_table, load_new_rows
-from tallyhouse.sources.files import read_parquet, read_utf16_csv
-from tallyhouse.sources.schemas import HOUSES_RAW
+from tallyhouse.sources.files import read_utf16_csv
 
 # Fixed values
 TOP_PLACES = 10
@@ -161,8 +160,3 @@ def run_all(
         "decades_since": decades_since(realistic),
         "top_buildings": top_buildings(spark.table(table)),
     }
-
-
-def read_register(spark: SparkSession, parquet_path: str) -> DataFrame:
-    """A register landed earlier, still uncleaned."""
-    return read_parquet(spark, parquet_path, HOUSES_RAW)

@@ -118,8 +118,10 @@ def test_extremes_are_one_aggregate(stored):
 
 def test_access_log_is_parsed_in_one_scan(spark, tmp_path):
     (tmp_path / "log").write_text("a b c d e f g\n")
-    plan = plan_of(accesslog.report(read_access_log(spark, str(tmp_path / "log"))))
-    assert plan.count("FileScan") == 1 and plan.count("split(") == 1
+    requests = read_access_log(spark, str(tmp_path / "log"))
+    for result in (accesslog.report(requests), accesslog.top_url(requests)):
+        plan = plan_of(result)
+        assert plan.count("FileScan") == 1 and plan.count("split(") == 1
 
 
 def test_top_k_over_counts_adds_up_before_the_shuffle(stored):
