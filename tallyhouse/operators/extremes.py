@@ -25,6 +25,14 @@ def _known(df: DataFrame, group: str, measure: str) -> DataFrame:
     return df.filter(comparable & F.col(group).isNotNull())
 
 
+def _reversed(df: DataFrame, measure: str) -> Column:
+    """A value that falls as the measure rises; for whole numbers one that cannot overflow."""
+    value = F.col(measure)
+    if isinstance(df.schema[measure].dataType, T.IntegralType):
+        return F.bitwise_not(value)
+    return -value
+
+
 def _rank(measure: Column, ties: Sequence[str]) -> Column:
     """Order by the measure, then by the tie-breaks with NULL last."""
     parts = [measure]
@@ -33,9 +41,7 @@ def _rank(measure: Column, ties: Sequence[str]) -> Column:
     return F.struct(*parts)
 
 
-def extremes_by_group(
-    df: DataFrame, group: str, measure: str, label: str, *, prefix: tuple[str, str] = ("min", "max")
-) -> DataFrame:
+def extremes_by_group(df: DataFrame, group: str, measure: str, label: str) -> DataFrame:
     """Per group the smallest and largest measure, each with the label of its record.
 
     Rows whose measure or group is NULL take no part; among equal measures the
@@ -43,16 +49,15 @@ def extremes_by_group(
     two more aggregates and a join: a task sends one row per group it has seen, so
     neither a hot group nor whole rows are ever shuffled.
     """
-    low, high = prefix
     value = F.col(measure)
     return (
         _known(df, group, measure)
         .groupBy(group)
         .agg(
-            F.min_by(label, _rank(value, [label])).alias(f"{low}_{label}"),
-            F.min(value).alias(f"{low}_{measure}"),
-            F.min_by(label, _rank(-value, [label])).alias(f"{high}_{label}"),
-            F.max(value).alias(f"{high}_{measure}"),
+            F.min_by(label, _rank(value, [label])).alias(f"min_{label}"),
+            F.min(value).alias(f"min_{measure}"),
+            F.min_by(label, _rank(_reversed(df, measure), [label])).alias(f"max_{label}"),
+            F.max(value).alias(f"max_{measure}"),
         )
     )
 
@@ -65,12 +70,12 @@ def extreme_rows_by_group(
     NULL groups and NULL measures take no part. Also one map-side aggregate: unlike a
     row number it needs no ordering of the rows inside a group.
     """
-    value = F.col(measure)
+    order = _reversed(df, measure) if largest else F.col(measure)
     record = F.struct(*df.columns)
     return (
         _known(df, group, measure)
         .groupBy(group)
-        .agg(F.min_by(record, _rank(-value if largest else value, ties)).alias("record"))
+        .agg(F.min_by(record, _rank(order, ties)).alias("record"))
         .select("record.*")
     )
 

@@ -8,7 +8,7 @@ from fixtures import PEOPLE, STAFF
 from pyspark.sql import functions as F
 
 from tallyhouse.operators.counts import count_by, distinct_count, top_rows
-from tallyhouse.operators.extremes import extreme_rows_by_group
+from tallyhouse.operators.extremes import extreme_rows_by_group, extremes_by_group
 from tallyhouse.operators.keys import new_rows
 from tallyhouse.operators.quality import duplicate_groups, empty_rows, quality_report
 from tallyhouse.plans import staff
@@ -95,6 +95,14 @@ def test_extreme_rows_match_brute_force(spark):
         assert {r[0]: r for r in found} == expected
 
 
+def test_extremes_of_whole_numbers_reach_the_type_bounds(spark):
+    low, high = -(2**31), 2**31 - 1
+    data = [("g", low, "a"), ("g", high, "b"), ("g", 0, "c"), ("g", None, "d")]
+    df = spark.createDataFrame(data, "g string, v int, n string")
+    assert rows(extremes_by_group(df, "g", "v", "n")) == [("g", "a", low, "b", high)]
+    assert rows(extreme_rows_by_group(df, "g", "v", "n", largest=True)) == [("g", high, "b")]
+
+
 def test_new_rows_with_one_key_in_a_third_of_the_batch(spark):
     batch = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 50 != 1, F.col("id")).alias("k"),
