@@ -48,3 +48,38 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars,
        (fail_bits & 63) = 0 AS kept, fail_bits::BIGINT AS fail_bits
 FROM judged
 """
+
+ORACLES["op4_sampled_splitters"] = r"""
+WITH RECURSIVE steps AS (
+  SELECT i AS byte, i::BIGINT AS value, 0 AS step FROM range(256) t(i)
+  UNION ALL
+  SELECT byte, CASE WHEN value & 1 = 1 THEN xor(value >> 1, 3988292384) ELSE value >> 1 END, step + 1
+  FROM steps WHERE step < 8
+), crc AS (
+  SELECT list(value ORDER BY byte) AS entries FROM steps WHERE step = 8
+), sized AS (
+  SELECT doc_id, coalesce(text, '') AS text, strlen(coalesce(text, '')) + 1 AS size,
+         CAST('0x' || substr(md5(coalesce(text, '')), 1, 15) AS BIGINT) AS key,
+         hex(encode(coalesce(text, ''))) AS digits
+  FROM documents
+), places AS (
+  SELECT *, sum(size) OVER (ORDER BY key, doc_id) - size AS own,
+         row_number() OVER (ORDER BY key, doc_id) - 1 AS nth, sum(size) OVER () AS total,
+         sum(size) OVER (PARTITION BY key) AS weight
+  FROM sized
+), starts AS (
+  SELECT *, CASE WHEN weight <= 0.01 * total / 8 THEN min(own) OVER (PARTITION BY key) ELSE own END AS start
+  FROM places
+), shards AS (
+  SELECT *, (start * 8 // total)::INTEGER AS shard FROM starts
+), sums AS (
+  SELECT doc_id, list_reduce(
+           list_prepend(4294967295::BIGINT,
+             [CAST('0x' || digits[2 * i - 1:2 * i] AS BIGINT) FOR i IN range(1, size)]),
+           lambda a, b: xor(a >> 8, entries[(xor(a, b) & 255) + 1])) AS state
+  FROM sized, crc
+)
+SELECT doc_id, size::BIGINT AS size, xor(state, 4294967295)::BIGINT AS text_crc32, 'bytes' AS law, shard,
+       (nth - min(nth) OVER (PARTITION BY shard))::BIGINT AS slot, NULL::INTEGER AS grown_shard
+FROM shards JOIN sums USING (doc_id)
+"""

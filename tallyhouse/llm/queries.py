@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import rules
+from tallyhouse.llm import rules, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -37,3 +37,19 @@ def op1_rule_ledger(spark, sf_dir):
         rules.passes(rules.PRODUCTION).alias("kept"),
         "fail_bits",
     )
+
+
+@query
+def op4_sampled_splitters(spark, sf_dir):
+    """All documents in eight shards of near-equal bytes."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
+    return sharding.shard_by_bytes(docs.withColumn("text_crc32", crc)).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
