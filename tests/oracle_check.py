@@ -15,6 +15,7 @@ SQL_TYPES = {
     "double": "DOUBLE",
     "float": "FLOAT",
     "string": "VARCHAR",
+    "boolean": "BOOLEAN",
     "timestamp": "TIMESTAMP",
     "timestamp_ntz": "TIMESTAMP",
 }
