@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import rules, sharding
+from tallyhouse.llm import rules, sharding, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -53,3 +53,9 @@ def op4_sampled_splitters(spark, sf_dir):
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query
+def op5_simhash_trie(spark, sf_dir):
+    """Fingerprint and near-copy component of every document."""
+    return simhash.near_copies(table(spark, sf_dir, "documents"))
