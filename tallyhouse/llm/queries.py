@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import rules, sharding, simhash
+from tallyhouse.llm import packing, rules, sharding, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -59,3 +59,9 @@ def op4_sampled_splitters(spark, sf_dir):
 def op5_simhash_trie(spark, sf_dir):
     """Fingerprint and near-copy component of every document."""
     return simhash.near_copies(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_swap_packing(spark, sf_dir):
+    """Every piece of every document, packed into sequences of 4096 tokens."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
