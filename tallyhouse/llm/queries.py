@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import packing, rules, sharding, simhash
+from tallyhouse.llm import mixing, packing, rules, sharding, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -65,3 +65,9 @@ def op5_simhash_trie(spark, sf_dir):
 def op6_swap_packing(spark, sf_dir):
     """Every piece of every document, packed into sequences of 4096 tokens."""
     return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_temperature_mix(spark, sf_dir):
+    """Every copy of every document in the mix: sources at most twice as often as the largest."""
+    return mixing.mix_plan(table(spark, sf_dir, "documents"))

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyhouse.llm.components import components
+from tallyhouse.llm.rows import ROW, with_row
 from tallyhouse.llm.words import encoded, words_of
 from tallyhouse.session import stage
 
@@ -315,14 +316,11 @@ def drop_near_copies(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", node_rows: int = NODE_ROWS
 ) -> DataFrame:
     """One row of docs for each component, unchanged."""
-    row = F.xxhash64(*docs.columns)
-    rows = stage(
-        docs.select(F.col(id_col).alias("doc_id"), row.alias("row"), fingerprints(F.col(text_col)).alias("fp")),
-        "simhash",
-    )
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
+    hashed = with_row(docs)
+    rows = hashed.select(F.col(id_col).alias("doc_id"), *ROW, fingerprints(F.col(text_col)).alias("fp"))
+    rows = stage(rows, "simhash")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", *ROW)
     first = rows.groupBy("fp").agg(F.min(order).alias("first"))
     kept = classes(rows, node_rows).join(first, "fp").groupBy("root").agg(F.min("first").alias("first"))
-    kept = kept.select(F.col("first.row").alias("_row"))
-    hashed = docs.withColumn("_row", row)
-    return hashed.join(kept, "_row", "left_semi").dropDuplicates(["_row"]).select(*docs.columns)
+    kept = kept.select(*(F.col(f"first.{name}").alias(name) for name in ROW))
+    return hashed.join(kept, ROW, "left_semi").dropDuplicates(ROW).select(*docs.columns)
