@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import mixing, packing, rules, sharding, simhash
+from tallyhouse.llm import mixing, packing, pii, rules, sharding, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -71,3 +71,22 @@ def op6_swap_packing(spark, sf_dir):
 def op3_temperature_mix(spark, sf_dir):
     """Every copy of every document in the mix: sources at most twice as often as the largest."""
     return mixing.mix_plan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_boosted_pii(spark, sf_dir):
+    """Base spans and the spans that the trees add, for every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find_spans(docs, pii.fit(docs)).select("doc_id", "spans")
+    base = F.filter("spans", lambda s: s["base"])
+
+    def number(kind: str):
+        own = F.filter(base, lambda s: s["kind"] == pii.KINDS.index(kind))
+        return F.size(own).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *map(number, pii.KINDS),
+        F.sha2(pii.written(base), 256).alias("base_sha256"),
+        pii.written(F.col("spans")).alias("spans"),
+    )
