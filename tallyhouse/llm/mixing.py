@@ -208,9 +208,17 @@ def mix_plan(
 
 
 def mixed(
-    docs: DataFrame, mix: Mix = Mix(), text_col: str = "text", source_col: str = "source"
+    docs: DataFrame,
+    mix: Mix = Mix(),
+    text_col: str = "text",
+    source_col: str = "source",
+    prefix: str = "",
 ) -> DataFrame:
-    """Rows of docs as often as the mix has them, with n_tokens, epoch, block and place."""
-    docs = docs.drop(*ADDED)
-    copies = plan(counted(docs, text_col, source_col), mix).drop("source")
+    """Rows of docs as often as the mix has them, with n_tokens, epoch, block and place.
+
+    The names of these four are prefixed as asked for.
+    """
+    named = {name: prefix + name for name in ADDED}
+    docs = docs.drop(*named.values())
+    copies = plan(counted(docs, text_col, source_col), mix).drop("source").withColumnsRenamed(named)
     return with_row(docs).dropDuplicates(ROW).join(copies, ROW).drop(*ROW)

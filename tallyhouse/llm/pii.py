@@ -17,7 +17,7 @@ Patterns have possessive loops only, so neither long runs nor many matches nest
 far; they find what the plain forms in the comments find.
 
 Defined results: a null text has no spans. Ids play no part, so null or repeated ids and repeated
-rows are treated alike. Columns of the input stay; one named `spans` is replaced by find_spans. An
+rows are treated alike. Columns of the input stay; one named like the spans column is replaced. An
 empty table gives an empty result.
 """
 
@@ -345,8 +345,10 @@ def fit(docs: DataFrame, text_col: str = "text") -> Model:
     return fit_cells(table[:, :n], table[:, n + 1] * 1.0, table[:, n + 2] * 1.0, table[:, n] == 0)
 
 
-def find_spans(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """docs with spans: array of (start, kind, end, base), sorted; code points, end exclusive."""
+def find_spans(
+    docs: DataFrame, model: Model, text_col: str = "text", spans_col: str = "spans"
+) -> DataFrame:
+    """docs with spans_col: array of (start, kind, end, base), sorted; code points, end exclusive."""
 
     def scored(c: Column) -> Column:
         return F.struct(
@@ -363,7 +365,7 @@ def find_spans(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
         )
         return a["base"] | (a["score"] > b["score"]) | same
 
-    docs = with_candidates(docs.drop("spans"), text_col)
+    docs = with_candidates(docs.drop(spans_col), text_col)
     chosen = F.filter("_candidates", lambda c: c["base"] | (model.score(c) >= model.threshold(c)))
     docs = docs.withColumn("_chosen", F.transform(chosen, scored))
     base = F.filter("_chosen", lambda c: c["base"])
@@ -377,7 +379,7 @@ def find_spans(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
             c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end"), c["base"].alias("base")
         ),
     )
-    return docs.withColumn("spans", F.array_sort(spans)).drop("_candidates", "_chosen")
+    return docs.withColumn(spans_col, F.array_sort(spans)).drop("_candidates", "_chosen")
 
 
 def written(spans: Column) -> Column:

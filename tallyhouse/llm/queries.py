@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import mixing, packing, pii, rules, sharding, simhash
+from tallyhouse.llm import mixing, packing, pii, rules, sharding, simhash, sketches
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -90,3 +90,9 @@ def op10_boosted_pii(spark, sf_dir):
         F.sha2(pii.written(base), 256).alias("base_sha256"),
         pii.written(F.col("spans")).alias("spans"),
     )
+
+
+@query
+def op9_bottom_k(spark, sf_dir):
+    """Sketch of every document, of its edited text, and their likeness."""
+    return sketches.compare_edited(table(spark, sf_dir, "documents"))

@@ -121,8 +121,13 @@ def build_ledger(
     measured = docs.select(
         F.col(id_col).alias("doc_id"), measurements(F.col(text_col)).alias("measured")
     ).select("doc_id", "measured.*")
+    return measured.withColumn("fail_bits", fail_bits(rules))
+
+
+def fail_bits(rules: Sequence[Rule] = RULES) -> Column:
+    """The bits of the rules that a row of measurements fails."""
     failed = (F.when(F.expr(rule.fails), 1 << rule.bit).otherwise(0) for rule in rules)
-    return measured.withColumn("fail_bits", reduce(Column.bitwiseOR, failed).cast("long"))
+    return reduce(Column.bitwiseOR, failed).cast("long")
 
 
 def mask(policy: Policy, rules: Sequence[Rule] = RULES) -> int:
@@ -144,6 +149,18 @@ def apply_policies(
     )
 
 
+def keep_passing(
+    docs: DataFrame,
+    policy: Policy = PRODUCTION,
+    text_col: str = "text",
+    rules: Sequence[Rule] = RULES,
+) -> DataFrame:
+    """Rows of docs, unchanged, whose text passes the policy. No shuffle: the ledger row is made beside its text."""
+    measured = docs.select(F.struct(*docs.columns).alias("_doc"), measurements(F.col(text_col)).alias("_m"))
+    ledger = measured.select("_doc", "_m.*").withColumn("fail_bits", fail_bits(rules))
+    return ledger.filter(passes(policy, rules)).select("_doc.*")
+
+
 def ablations(
     ledger: DataFrame, policies: Sequence[Policy] = POLICIES, rules: Sequence[Rule] = RULES
 ) -> DataFrame:
