@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import mixing, packing, pii, rules, sharding, simhash, sketches
+from tallyhouse.llm import gam, langid, mixing, packing, pii, rules, sharding, simhash, sketches
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -96,3 +96,28 @@ def op10_boosted_pii(spark, sf_dir):
 def op9_bottom_k(spark, sf_dir):
     """Sketch of every document, of its edited text, and their likeness."""
     return sketches.compare_edited(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_pairwise_gam(spark, sf_dir):
+    """Quality score of every document, learnt from the labels that are not held out."""
+    held_out = langid.remainder("doc_id", 3) == 1
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = gam.fit(docs, table(spark, sf_dir, "labels").filter(~held_out))
+    return gam.score(docs, model).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
+    )
+
+
+@query
+def op8_ngram_bayes(spark, sf_dir):
+    """Language of every document, learnt from those that are not held out."""
+    held_out = langid.remainder("doc_id", 4) == 2
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.fit(docs.filter(~held_out))
+    return langid.predict(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score"
+    )
