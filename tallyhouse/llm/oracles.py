@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tallyhouse.llm.queries import CAPTURES, CRAWLED
+
 ORACLES: dict[str, str] = {}
 
 ORACLES["op1_rule_ledger"] = r"""
@@ -83,3 +85,45 @@ SELECT doc_id, size::BIGINT AS size, xor(state, 4294967295)::BIGINT AS text_crc3
        (nth - min(nth) OVER (PARTITION BY shard))::BIGINT AS slot, NULL::INTEGER AS grown_shard
 FROM shards JOIN sums USING (doc_id)
 """
+
+ORACLES["op7_revisits"] = (
+    f"WITH crawled AS ({CRAWLED}), captures AS ({CAPTURES}),"
+    + r"""
+plain AS (
+  SELECT *, regexp_replace(trim(url), '#.*$', '') AS address,
+         '^[A-Za-z][A-Za-z0-9+.-]*://' AS begin FROM captures
+), parts AS (
+  SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(address, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?]*)', 1)),
+                                          ':(80|443)$', ''), '^www\.', '') AS host,
+         regexp_replace(regexp_extract(address, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*([^?]*)', 1), '/+$', '') AS path,
+         array_to_string(list_sort([p FOR p IN string_split(regexp_extract(address, '\?(.*)$', 1), '&')
+                                    IF p <> '' AND NOT starts_with(p, 'utm_')]), '&') AS query
+  FROM plain
+), keyed AS (
+  SELECT *, CASE WHEN regexp_matches(address, begin)
+                 THEN host || CASE WHEN path = '' THEN '/' ELSE path END
+                      || CASE WHEN query <> '' THEN '?' || query ELSE '' END
+                 ELSE address END AS url_key FROM parts
+), joined AS (
+  SELECT v.*, r.record_id AS found_id, r.etag AS found_tag, r.last_modified AS found_day,
+         r.payload AS body, r.cache_control AS found_cache, r.content_type AS found_type
+  FROM keyed v LEFT JOIN keyed r
+    ON r.type = 'response' AND r.url_key = v.url_key AND r.ts < v.ts
+  WHERE v.type = 'revisit'
+  QUALIFY row_number() OVER (PARTITION BY v.record_id ORDER BY r.ts DESC NULLS LAST, r.record_id DESC) = 1
+), judged AS (
+  SELECT *, CASE WHEN found_id IS NULL THEN 'no_response'
+                 WHEN etag IS NULL AND last_modified IS NULL THEN 'no_validator'
+                 WHEN etag IS NOT NULL AND regexp_replace(etag, '^W/', '') = regexp_replace(found_tag, '^W/', '') THEN 'resolved'
+                 WHEN etag IS NULL AND last_modified = found_day THEN 'resolved'
+                 ELSE 'mismatch' END AS outcome FROM joined
+)
+SELECT record_id::BIGINT AS record_id, url_key, ts::BIGINT AS ts, outcome,
+       CASE WHEN outcome = 'resolved' THEN found_id::BIGINT END AS response_id,
+       CASE WHEN outcome = 'resolved' THEN md5(body) END AS payload_md5,
+       CASE WHEN outcome = 'resolved' THEN concat_ws('; ',
+         'cache-control: ' || coalesce(cache_control, found_cache), 'content-type: ' || found_type,
+         'etag: ' || coalesce(etag, found_tag), 'last-modified: ' || coalesce(last_modified, found_day)) END AS headers
+FROM judged
+"""
+)

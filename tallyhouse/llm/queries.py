@@ -7,7 +7,38 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import gam, langid, mixing, packing, pii, rules, sharding, simhash, sketches
+from tallyhouse.llm import gam, langid, mixing, packing, pii, revisits, rules, sharding, simhash, sketches
+
+# Captures of each page: a response, revisits under other spellings of its URL (before it, by weak
+# ETag, by date, with a wrong ETag, without any), and for a third a changed response in between.
+CAPTURES = """
+  SELECT page_id * 8 AS record_id, 'revisit' AS type, 304 AS status, url, seen - 50 AS ts,
+         NULL AS payload, tag AS etag, day AS last_modified, 'max-age=1' AS cache_control, 'skip' AS content_type
+  FROM crawled WHERE page_id % 7 = 0
+  UNION ALL
+  SELECT page_id * 8 + 1, 'response', 200, url, seen, html, tag, day, 'max-age=2', 'text/html' FROM crawled
+  UNION ALL
+  SELECT page_id * 8 + 2, 'revisit', 304, url || '#part', seen + 100, NULL, 'W/' || tag, NULL, NULL, 'skip' FROM crawled
+  UNION ALL
+  SELECT page_id * 8 + 3, 'response', 200, url, seen + 200, html || '<!-- changed -->', changed, day, NULL, 'text/html'
+  FROM crawled WHERE page_id % 3 = 0
+  UNION ALL
+  SELECT page_id * 8 + 4, 'revisit', 304, url || (CASE WHEN url LIKE '%?%' THEN '&' ELSE '?' END) || 'utm_source=x',
+         seen + 300, NULL, NULL, day, 'max-age=3', NULL FROM crawled WHERE page_id % 3 <> 0
+  UNION ALL
+  SELECT page_id * 8 + 5, 'revisit', 304, url, seen + 400, NULL,
+         CASE WHEN page_id % 5 = 0 THEN '"stale"' WHEN page_id % 3 = 0 THEN changed ELSE tag END, day, 'no-cache', NULL
+  FROM crawled
+  UNION ALL
+  SELECT page_id * 8 + 6, 'revisit', 304, url, seen + 500, NULL, NULL, NULL, 'no-store', NULL
+  FROM crawled WHERE page_id % 11 = 0
+"""
+CRAWLED = """
+  SELECT page_id, url, html, 1700000000 + page_id * 7919 % 1000000 AS seen, '"' || substr(md5(html), 1, 16) || '"' AS tag,
+         '"' || substr(md5(html || '<!-- changed -->'), 1, 16) || '"' AS changed,
+         'day ' || CAST(page_id % 28 AS STRING) AS day
+  FROM pages
+"""
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -121,3 +152,31 @@ def op8_ngram_bayes(spark, sf_dir):
     return langid.predict(docs, model).select(
         "doc_id", held_out.alias("held_out"), "lang_pred", "score"
     )
+
+
+def captures(spark, sf_dir) -> DataFrame:
+    """Archive records derived from pages."""
+    sql = CAPTURES.replace("crawled", f"({CRAWLED.replace('pages', '{pages}')})")
+    rows = spark.sql(sql, pages=table(spark, sf_dir, "pages"))
+    names = ["etag", "last_modified", "cache_control", "content_type"]
+    headers = F.create_map(
+        *(x for name in names for x in (F.lit(name.replace("_", "-").title()), F.col(name)))
+    )
+    return rows.withColumn("headers", F.map_filter(headers, lambda _, value: value.isNotNull()))
+
+
+@query
+def op7_revisits(spark, sf_dir):
+    """Every not-modified revisit in the captures of all pages, resolved."""
+    headers = F.array_sort(
+        F.transform(F.map_entries("headers"), lambda e: F.concat_ws(": ", e["key"], e["value"]))
+    )
+    return revisits.resolve(captures(spark, sf_dir)).select(
+        "record_id",
+        "url_key",
+        "ts",
+        "outcome",
+        "response_id",
+        F.md5(F.col("payload").cast("binary")).alias("payload_md5"),
+        F.array_join(headers, "; ").alias("headers"),
+    )
