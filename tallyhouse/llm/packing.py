@@ -36,6 +36,7 @@ CAPACITY = 4096
 GROUP = 20_000
 MOST_PIECES = 50_000
 STEPS = 20_000
+PASSES = 4
 PIECES = "doc_id {id}, piece int, start long, length long, ids_crc32 long"
 
 
@@ -101,37 +102,31 @@ def improve(bins: list[list[int]], lengths: np.ndarray, capacity: int, steps: in
     """Local search: empty the emptiest bins into other underfull ones."""
     fill = [int(lengths[b].sum()) for b in bins]
     needed = ceil(int(lengths.sum()) / capacity)
-    alive = len(bins)
-    stuck: set[int] = set()
-    while alive > needed and steps > 0:
-        source = min((k for k in range(len(bins)) if bins[k] and k not in stuck), key=fill.__getitem__, default=None)
-        if source is None or fill[source] == capacity:
+    for _ in range(PASSES):
+        if sum(map(bool, bins)) <= needed:
             break
-        takers = [k for k in range(len(bins)) if bins[k] and fill[k] < capacity and k != source and fill[k] >= fill[source]]
         changed = False
-        while bins[source] and takers and steps > 0:
-            found = step(source, takers, bins, fill, lengths, capacity)
-            if found is None:
-                break
-            taker, out, back = found
-            for x in out:
-                bins[source].remove(x)
-            for x in back:
-                bins[taker].remove(x)
-            bins[source] += back
-            bins[taker] += out
-            gain = int(lengths[out].sum() - lengths[back].sum())
-            fill[source] -= gain
-            fill[taker] += gain
-            if fill[taker] == capacity:
-                takers.remove(taker)
-            changed = True
-            steps -= 1
-        if not bins[source]:
-            alive -= 1
-            stuck.clear()
-        elif not changed:
-            stuck.add(source)
+        underfull = [k for k in range(len(bins)) if 0 < fill[k] < capacity]
+        for source in sorted(underfull, key=fill.__getitem__):
+            takers = [
+                k for k in underfull if k != source and 0 < fill[source] <= fill[k] < capacity
+            ]
+            while bins[source] and fill[source] < capacity and takers and steps > 0:
+                found = step(source, takers, bins, fill, lengths, capacity)
+                if found is None:
+                    break
+                taker, out, back = found
+                bins[source] = [x for x in bins[source] if x not in out] + back
+                bins[taker] = [x for x in bins[taker] if x not in back] + out
+                gain = int(lengths[out].sum() - lengths[back].sum())
+                fill[source] -= gain
+                fill[taker] += gain
+                if fill[taker] == capacity:
+                    takers.remove(taker)
+                changed = True
+                steps -= 1
+        if not changed:
+            break
     return [b for b in bins if b]
 
 
