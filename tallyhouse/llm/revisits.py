@@ -154,10 +154,18 @@ def resolve(records: DataFrame) -> DataFrame:
     found = resolutions(records)
     stored = records.filter("type = 'response' AND status = 200").select(
         F.col("record_id").alias("stored_id"),
+        F.lit(True).alias("stands"),
         F.col("payload"),
         lower_names(F.coalesce("headers", F.create_map().cast("map<string,string>"))).alias("stored"),
     )
-    joined = found.join(stored, found["response_id"] == stored["stored_id"], "left")
+    # An unresolved revisit joins by its own id, which no response has under this flag, so that
+    # those without a response are not all dealt to one task.
+    joined = found.join(
+        stored,
+        (F.coalesce(found["response_id"], found["record_id"]) == stored["stored_id"])
+        & (found["response_id"].isNotNull() == stored["stands"]),
+        "left",
+    )
     return joined.select(
         "record_id",
         "url_key",
