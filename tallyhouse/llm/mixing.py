@@ -37,7 +37,7 @@ from tallyhouse.llm.rows import ROW, with_row
 from tallyhouse.llm.tokens import ID_BYTES, document_ids, word_ids
 from tallyhouse.session import stage
 
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 5_000
 PROBES = 15
 PASSES = 6
 ADDED = ["n_tokens", "epoch", "block", "place"]
