@@ -7,25 +7,9 @@ from pyspark.sql import functions as F
 
 
 def items_by_group(df: DataFrame, group: str, item: str) -> DataFrame:
-    """One row per group and distinct item; spread over both, so no group sits in one task."""
-    return df.select(group, item).distinct()
-
-
-def paged_lists(
-    df: DataFrame, group: str, item: str, *, name: str = "items", page_size: int = 10_000
-) -> DataFrame:
-    """Distinct items of each group as sorted lists, in pages of about `page_size` items.
+    """One row per group and distinct item, whatever the number of items.
 
-    A group with no more items than that is one row with page 0: its whole list. A
-    larger one is spread over pages by a hash of the item, so that a list never
-    outgrows a row or a task; all its pages together hold every item once.
+    Spread over both, so no group sits in one task and no list has to fit a row.
     """
-    items = items_by_group(df, group, item)
-    pages = items.groupBy(group).agg(F.ceil(F.count(F.lit(1)) / page_size).alias("pages"))
-    page = F.pmod(F.xxhash64(item), F.col("pages")).cast("int")
-    return (
-        items.withColumnRenamed(group, "__group")
-        .join(pages, F.col("__group").eqNullSafe(F.col(group)))
-        .groupBy(group, page.alias("page"))
-        .agg(F.sort_array(F.collect_list(item)).alias(name))
-    )
+    return df.select(group, item).distinct()
+

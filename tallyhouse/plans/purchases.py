@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.operators.counts import argmax_group, top_rows
-from tallyhouse.operators.lists import paged_lists
+from tallyhouse.operators.lists import items_by_group
 from tallyhouse.session import stage
 
 # Fixed values
@@ -30,8 +30,9 @@ def total_revenue(purchases: DataFrame) -> DataFrame:
     return purchases.agg(_revenue().cast("double").alias("revenue"))
 
 
-def items_by_category(purchases: DataFrame, *, page_size: int = 10_000) -> DataFrame:
-    return paged_lists(purchases, "category", "item", page_size=page_size)
+def items_by_category(purchases: DataFrame) -> DataFrame:
+    """One row per category and item sold in it."""
+    return items_by_group(purchases, "category", "item")
 
 
 def expensive_purchases(purchases: DataFrame, min_price: float = DEFAULT_MIN_PRICE) -> DataFrame:
