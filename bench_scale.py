@@ -61,19 +61,14 @@ def derive(spark, sf_dir: str, folder: str, copies: int) -> tuple[DataFrame, Dat
     )
 
 
-def windowed_extremes(houses: DataFrame) -> DataFrame:
-    """Two windows, two aggregates and a join."""
+def numbered_extremes(houses: DataFrame) -> DataFrame:
+    """A row number from either end, one row per region kept."""
     known = houses.filter("square IS NOT NULL").select("region", "square", "address")
-    sides = []
-    for name, order in (("min", F.col("square").asc()), ("max", F.col("square").desc())):
-        window = Window.partitionBy("region").orderBy(order, "address")
-        sides.append(
-            known.withColumn("a", F.first("address").over(window))
-            .withColumn("s", F.first("square").over(window))
-            .groupBy("region")
-            .agg(F.first("a").alias(f"{name}_address"), F.first("s").alias(f"{name}_square"))
-        )
-    return sides[0].join(sides[1], "region")
+    number = F.row_number()
+    low = Window.partitionBy("region").orderBy("square", "address")
+    high = Window.partitionBy("region").orderBy(F.desc("square"), "address")
+    ends = known.select("*", number.over(low).alias("low"), number.over(high).alias("high"))
+    return ends.filter("low = 1 OR high = 1")
 
 
 def numbered_rows(houses: DataFrame) -> DataFrame:
@@ -92,7 +87,7 @@ def whole_row_duplicates(texts: DataFrame) -> DataFrame:
 
 
 PAIRS = {
-    "extremes by group": (buildings.square_extremes, windowed_extremes, "houses"),
+    "extremes by group": (buildings.square_extremes, numbered_extremes, "houses"),
     "extreme rows by group": (
         lambda h: extreme_rows_by_group(h, "region", "square", "address", "house_id"),
         numbered_rows,
