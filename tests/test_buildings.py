@@ -5,6 +5,7 @@ from conftest import one, rows
 from fixtures import houses, write_register_csv
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyhouse.functions.cleaning import text_to_float, text_to_int
 from tallyhouse.functions.years import decade
@@ -241,3 +242,51 @@ def test_whole_analysis(spark, tmp_path):
 def test_missing_parquet_is_an_error(spark, tmp_path):
     with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
         read_parquet(spark, str(tmp_path / "nothing"))
+
+
+WIDE = T.StructType(
+    [T.StructField("id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("n", T.IntegerType())]
+)
+
+
+def utf16_file(path, rows, schema, *, line_end, little_endian, last=""):
+    lines = [",".join(schema.fieldNames())] + [",".join(map(str, row)) for row in rows]
+    encoding = "utf-16-le" if little_endian else "utf-16-be"
+    path.write_bytes(("﻿" + line_end.join(lines) + line_end + last).encode(encoding))
+    return str(path)
+
+
+@pytest.mark.parametrize("little_endian", [True, False])
+@pytest.mark.parametrize("line_end", ["\n", "\r\n"])
+@pytest.mark.parametrize("last_is_text", [True, False])
+def test_split_utf16_agrees_with_the_whole_file(spark, settings, tmp_path, little_endian, line_end, last_is_text):
+    """Characters whose low byte is zero and those of U+0A00 to U+0AFF, apart, pass unharmed."""
+    settings(spark__sql__files__maxPartitionBytes="2KB", spark__sql__files__openCostInBytes="1KB")
+    order = ("id", "n", "text") if last_is_text else ("id", "text", "n")
+    schema = T.StructType([WIDE[name] for name in order])
+    texts = ["plain", "Āx", "aĀ", "ਅx", "x ਅ", '"q, r"', "", "é𝔘"]
+    rows = []
+    for i in range(400):
+        text, n = texts[i % len(texts)], "" if i % 7 == 0 else ("bad" if i % 11 == 0 else i)
+        rows.append((i, n, text) if last_is_text else (i, text, n))
+    path = utf16_file(tmp_path / "f.csv", rows, schema, line_end=line_end, little_endian=little_endian)
+    whole = read_utf16_csv(spark, path, schema)
+    split = read_utf16_csv(spark, path, schema, newlines_in_fields=False, little_endian=little_endian)
+    assert split.schema == whole.schema
+    assert split.rdd.getNumPartitions() > 3
+    assert sorted(map(str, split.collect())) == sorted(map(str, whole.collect()))
+
+
+@pytest.mark.parametrize("little_endian", [True, False])
+def test_a_line_cut_inside_a_character_is_an_error(spark, tmp_path, little_endian):
+    text = "ਅĀ" if little_endian else "Āਅ"
+    rows = [(i, text, i) for i in range(5)]
+    path = utf16_file(tmp_path / "f.csv", rows, WIDE, line_end="\n", little_endian=little_endian)
+    whole = read_utf16_csv(spark, path, WIDE).collect()
+    split = read_utf16_csv(spark, path, WIDE, newlines_in_fields=False, little_endian=little_endian)
+    try:
+        found = split.collect()
+    except Exception as error:
+        assert "newlines_in_fields=True" in str(error)
+    else:
+        assert sorted(map(str, found)) == sorted(map(str, whole))
