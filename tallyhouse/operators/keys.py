@@ -11,16 +11,19 @@ from tallyhouse.session import stage
 def known_keys(
     df: DataFrame, existing: DataFrame, key: str, *, buckets: int | None = None
 ) -> DataFrame:
-    """Keys of df that occur in `existing`.
+    """Keys of df that occur in `existing`, each once.
 
     The big table is met by the distinct keys of the batch alone, one narrow row each
     however often a key repeats. When it is bucketed by the key, give the number of
     buckets: the batch keys are then laid out to match and the table is not shuffled.
+    Without it the table's keys are made distinct in the tasks that read them and
+    then shuffled, so a key that fills much of the table is shared by many tasks.
     """
     keys = df.select(key).filter(F.col(key).isNotNull()).distinct()
-    if buckets:
-        keys = keys.repartition(buckets, key)
-    return existing.select(key).join(keys, key, "left_semi")
+    stored = existing.select(key)
+    if not buckets:
+        return stored.distinct().join(keys, key, "left_semi")
+    return stored.join(keys.repartition(buckets, key), key, "left_semi").distinct()
 
 
 def new_rows(

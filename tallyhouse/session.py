@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,16 +29,12 @@ def local_session(cores: int | str = 8, **settings: str) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it.
 
-    Only where it is unset and the session is local is a folder made on this machine;
-    on a cluster that would be a different disk for each executor, so it is an error.
+    Where spark.checkpoint.dir is unset it is a folder in the session's warehouse, which
+    all executors share by definition.
     """
-    context = spark.sparkContext
-    folder = spark.conf.get(SHARED_FOLDER, None) or context.getCheckpointDir()
+    folder = spark.conf.get(SHARED_FOLDER, None)
     if not folder:
-        if not context.master.startswith("local"):
-            raise RuntimeError(f"set {SHARED_FOLDER} to a folder that all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="tallyhouse-"))
-        folder = context.getCheckpointDir()
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_tallyhouse"
     return folder.rstrip("/")
 
 
@@ -47,11 +42,23 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete what a job wrote at a path of fresh_path, on whatever file system it lies."""
+    if not path.startswith(shared_folder(spark) + "/"):
+        raise ValueError(f"{path} is not in the shared folder")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write df once and return the written table, for results that share it.
 
-    Its lineage starts at the files, so a lost executor costs a re-read at most.
+    Its lineage starts at the files, so a lost executor costs a re-read at most. The
+    files stay, as results that read them may run at any later time; the caller may
+    remove the table's `staged_at` once it has what it wants.
     """
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.staged_at = path
+    return table
