@@ -10,9 +10,15 @@ from tallyhouse.operators.counts import (
 )
 from tallyhouse.operators.extremes import extreme_rows_by_group, extremes_by_group, widest_spread
 from tallyhouse.operators.keys import new_rows
-from tallyhouse.operators.lists import items_by_group, paged_lists
-from tallyhouse.operators.quality import duplicate_groups, empty_rows, quality_report
-from tallyhouse.operators.totals import describe_totals, extreme_total, totals_by
+from tallyhouse.operators.lists import items_by_group
+from tallyhouse.operators.quality import (
+    duplicate_groups,
+    empty_row_records,
+    empty_rows,
+    quality_report,
+    repeated_row_records,
+)
+from tallyhouse.operators.totals import describe_totals, extreme_total, mean_and_median, totals_by
 
 __all__ = [
     "argmax_group",
@@ -22,14 +28,16 @@ __all__ = [
     "distinct_count",
     "domain_counts",
     "duplicate_groups",
+    "empty_row_records",
     "empty_rows",
     "extreme_rows_by_group",
     "extreme_total",
     "extremes_by_group",
     "items_by_group",
+    "mean_and_median",
     "new_rows",
-    "paged_lists",
     "quality_report",
+    "repeated_row_records",
     "row_count",
     "top_counts",
     "top_rows",

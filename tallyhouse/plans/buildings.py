@@ -1,4 +1,8 @@
-"""Analysis of a building register (schema HOUSES_RAW, cleaned to HOUSES)."""
+"""Analysis of a building register (schema HOUSES_RAW).
+
+Cleaning gives whole numbers as int; the warehouse table (schema HOUSES) widens population and
+communal_service_id to bigint on loading.
+"""
 
 from __future__ import annotations
 
@@ -10,6 +14,7 @@ from tallyhouse.functions.years import decade, realistic_year
 from tallyhouse.operators.counts import count_by, row_count, top_counts, top_rows
 from tallyhouse.operators.extremes import extremes_by_group, widest_spread
 from tallyhouse.operators.quality import quality_report
+from tallyhouse.operators.totals import mean_and_median
 from tallyhouse.sinks.files import write_parquet
 from tallyhouse.sinks.tables import create_houses_table, load_new_rows
 from tallyhouse.sources.files import read_utf16_csv
@@ -65,12 +70,7 @@ def year_statistics(buildings: DataFrame, current_year: int) -> DataFrame:
     The median works on counts per year, and the year filter bounds those at
     current_year - 1001 rows whatever the size of the table.
     """
-    year, n = F.col("maintenance_year"), F.col("n")
-    per_year = count_by(realistic_years(buildings, current_year), "maintenance_year", "n")
-    return per_year.agg(
-        F.round(F.sum(year * n) / F.sum(n), 0).alias("mean_maintenance_year"),
-        F.round(F.percentile(year, 0.5, n), 0).alias("median_maintenance_year"),
-    )
+    return mean_and_median(realistic_years(buildings, current_year), "maintenance_year")
 
 
 def top_regions(buildings: DataFrame, k: int = TOP_PLACES) -> DataFrame:
