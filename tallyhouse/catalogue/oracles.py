@@ -26,12 +26,18 @@ daily AS (
 REQUESTS = (
     WEB_LOGS
     + r""",
+heads AS (
+  SELECT *, ip || ' - - [' || strftime(ts, '%d/%b/%Y:%H:%M:%S') || ' +0000]' AS head FROM web_logs),
 lines AS (
-  SELECT ip || ' - - [' || strftime(ts, '%d/%b/%Y:%H:%M:%S') || ' +0000] "' || method || ' ' || url
-         || ' HTTP/1.1" ' || response_code || ' ' || response_size AS line
-  FROM web_logs),
+  SELECT CASE response_size % 40 WHEN 0 THEN '' WHEN 1 THEN '  ' || ip || ' ' WHEN 2 THEN head
+              WHEN 3 THEN head || ' "' || method
+              ELSE head || ' "' || method || ' ' || url || ' HTTP/1.1" ' || response_code || ' '
+                   || response_size END AS line
+  FROM heads),
 fields AS (SELECT string_split_regex(trim(line), '\s+') AS f FROM lines),
-requests AS (SELECT f[1] AS client, replace(f[6], '"', '') AS method, f[7] AS url FROM fields),
+requests AS (
+  SELECT nullif(f[1], '') AS client, replace(f[6], '"', '') AS method, nullif(f[7], '') AS url
+  FROM fields),
 urls AS (SELECT url, count(*) AS n FROM requests WHERE length(url) > 0 GROUP BY url),
 top_url AS (SELECT url, n FROM urls ORDER BY n DESC, url LIMIT 1)"""
 )
@@ -41,7 +47,10 @@ register AS (
   SELECT o_orderkey AS house_id,
          o_custkey / 1000.0::DOUBLE AS latitude,
          o_orderkey / 1000.0::DOUBLE AS longitude,
-         CASE WHEN o_orderstatus <> 'P' THEN year(o_orderdate) || '.0' END AS maintenance_year,
+         CASE WHEN o_orderstatus <> 'P' THEN
+           CASE o_orderkey % 50 WHEN 0 THEN 205 WHEN 1 THEN 1000 WHEN 2 THEN 1001 WHEN 3 THEN 1999
+                WHEN 4 THEN 2000 WHEN 5 THEN 2025
+                ELSE year(o_orderdate) - o_orderkey % 12 * 10 END || '.0' END AS maintenance_year,
          CASE o_orderpriority WHEN '1-URGENT' THEN '—'
               WHEN '2-HIGH' THEN regexp_replace(CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR),
                                                 '(\d)(\d{3}\.)', '\1 \2')
@@ -50,7 +59,7 @@ register AS (
          CASE o_orderpriority WHEN '5-LOW' THEN '—' WHEN '2-HIGH' THEN '1 000'
               ELSE CAST(o_custkey AS VARCHAR) END AS population,
          'R' || o_custkey AS region,
-         nullif(o_orderpriority, '4-NOT SPECIFIED') AS locality_name,
+         nullif(o_orderpriority, '4-NOT SPECIFIED') || '/' || o_custkey % 4 AS locality_name,
          'Order ' || o_orderkey AS address,
          'R' || o_custkey || ', Order ' || o_orderkey AS full_address,
          CASE WHEN o_orderstatus = 'O' THEN '' ELSE CAST(o_custkey AS VARCHAR) END
@@ -109,6 +118,12 @@ ORDER BY square_difference DESC, region LIMIT 20"""
     )
 
 
+# The second batch repeats some new keys and has rows without a key, which stay out.
+LOADED = """
+loaded AS (
+  SELECT * FROM cleaned
+  UNION ALL SELECT * FROM cleaned WHERE house_id % 89 = 0 AND description NOT LIKE '%F')"""
+
 TOP_BUILDINGS = """
 SELECT house_id, latitude, longitude, square, {population} AS population, region, locality_name
 FROM cleaned WHERE square > 60 ORDER BY square DESC, house_id LIMIT 25"""
@@ -195,24 +210,55 @@ SELECT CAST(floor(maintenance_year / 10) * 10 AS INTEGER) AS decade, count(*) AS
 FROM realistic GROUP BY 1 ORDER BY 1 DESC""",
     "decades_since": f"""WITH {CLEANED}
 SELECT CAST(floor(maintenance_year / 10) * 10 AS INTEGER) AS decade, count(*) AS building_count
-FROM cleaned WHERE maintenance_year >= 1990 GROUP BY 1 ORDER BY 1""",
+FROM cleaned WHERE maintenance_year >= 1900 GROUP BY 1 ORDER BY 1""",
     "top_by_size": f"WITH {CLEANED} {TOP_BUILDINGS.format(population='population')}",
     "incremental_keys": """
 SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders
 WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')""",
-    "incremental_load": f"""WITH {CLEANED}
+    "incremental_load": f"""WITH {CLEANED}, {LOADED}
 SELECT house_id, latitude, longitude, maintenance_year, square,
        CAST(population AS BIGINT) AS population, region, locality_name, address, full_address,
        CAST(communal_service_id AS BIGINT) AS communal_service_id, description
-FROM cleaned""",
-    "warehouse_top_by_size": f"""WITH {CLEANED}
-{TOP_BUILDINGS.format(population='CAST(population AS BIGINT)')}""",
+FROM loaded""",
+    "warehouse_top_by_size": f"""WITH {CLEANED}, {LOADED}
+{TOP_BUILDINGS.format(population='CAST(population AS BIGINT)').replace("cleaned", "loaded")}""",
+    "access_log_no_post": f"""WITH {REQUESTS}
+SELECT count(*) FILTER (WHERE method = 'GET') AS GET, 0::BIGINT AS POST
+FROM requests WHERE method <> 'POST' OR method IS NULL""",
+    "empty_row_records": """
+SELECT nullif(event_type, 'signup') AS kind, user_id FROM events
+WHERE nullif(event_type, 'signup') IS NULL""",
+    "repeated_row_records": """
+SELECT text, lang, count(*) AS n FROM documents GROUP BY text, lang HAVING count(*) > 1""",
+    "quantity_mean_median": """
+SELECT round(avg(l_quantity), 2) AS mean_l_quantity, round(median(l_quantity), 2) AS median_l_quantity
+FROM lineitem""",
+    "order_dates_by_customer": f"""WITH dated AS (
+  SELECT o_custkey AS region, o_orderdate AS day, 'Order ' || o_orderkey AS address FROM orders),
+{_extremes("dated").replace("square", "day")}
+SELECT region AS o_custkey, min_address AS min_label, min_day AS min_o_orderdate,
+       max_address AS max_label, max_day AS max_o_orderdate FROM extremes""",
+    "web_log_report": f"""WITH {DAILY},
+top AS (SELECT ip, count(*) AS n FROM web_logs GROUP BY ip ORDER BY n DESC, ip LIMIT 10),
+spread AS (SELECT min(total_response_size) AS low, max(total_response_size) AS high,
+                  round(avg(total_response_size), 2) AS mean,
+                  round(stddev_samp(total_response_size), 2) AS deviation FROM daily)
+SELECT 'top_client' AS metric, ip AS key, CAST(n AS DOUBLE) AS value FROM top
+UNION ALL SELECT 'method', method, CAST(count(*) AS DOUBLE) FROM web_logs GROUP BY method
+UNION ALL SELECT 'not_found', '', CAST(count(*) AS DOUBLE) FROM web_logs WHERE response_code = 404
+UNION ALL SELECT 'bytes', date, CAST(total_response_size AS DOUBLE) FROM daily
+UNION ALL (SELECT 'most_active_day', date, CAST(total_response_size AS DOUBLE) FROM daily
+           ORDER BY total_response_size DESC, date LIMIT 1)
+UNION ALL (SELECT 'least_active_day', date, CAST(total_response_size AS DOUBLE) FROM daily
+           ORDER BY total_response_size, date LIMIT 1)
+UNION ALL SELECT 'min_daily_bytes', '', CAST(low AS DOUBLE) FROM spread
+UNION ALL SELECT 'max_daily_bytes', '', CAST(high AS DOUBLE) FROM spread
+UNION ALL SELECT 'mean_daily_bytes', '', mean FROM spread
+UNION ALL SELECT 'stddev_daily_bytes', '', deviation FROM spread""",
     "register_from_csv": f"WITH {CLEANED}, {_widest('realistic')}",
     "total_revenue": f"""WITH {PURCHASES}
 SELECT CAST(coalesce(sum(price * quantity), 0) AS DOUBLE) AS revenue FROM purchases""",
-    "items_by_category": """
-SELECT p_type AS category, 0 AS page, string_agg(DISTINCT p_name, ', ' ORDER BY p_name) AS items
-FROM part GROUP BY p_type""",
+    "items_by_category": "SELECT DISTINCT p_type AS category, p_name AS item FROM part",
     "distinct_items": f"WITH {PURCHASES} SELECT DISTINCT category, item FROM purchases",
     "expensive_purchases": """
 SELECT l_orderkey, l_linenumber, l_extendedprice AS price, l_quantity
@@ -243,7 +289,7 @@ ORDER BY c_acctbal DESC, c_name""",
     "balance_at_least": "SELECT * FROM customer WHERE c_acctbal >= 5000",
     "sql_view_filter": "SELECT * FROM customer WHERE c_acctbal >= 5000",
     "sql_count_not_null": """
-SELECT o_orderpriority AS locality_name, count(*) AS n FROM orders
+SELECT o_orderpriority || '/' || o_custkey % 4 AS locality_name, count(*) AS n FROM orders
 WHERE o_orderpriority <> '4-NOT SPECIFIED' GROUP BY 1""",
     "known_population": f"""WITH {CLEANED}
 SELECT count(*) AS n FROM cleaned WHERE population IS NOT NULL AND locality_name IS NOT NULL""",

@@ -21,9 +21,16 @@ from tallyhouse.functions.cleaning import text_to_float, text_to_int
 from tallyhouse.functions.text import access_log_fields
 from tallyhouse.operators.counts import count_where, row_count
 from tallyhouse.operators.extremes import extreme_rows_by_group
+from tallyhouse.operators.extremes import extremes_by_group as extremes
 from tallyhouse.operators.keys import new_rows
 from tallyhouse.operators.lists import items_by_group
-from tallyhouse.operators.quality import duplicate_groups, empty_rows
+from tallyhouse.operators.quality import (
+    duplicate_groups,
+    empty_row_records,
+    empty_rows,
+    repeated_row_records,
+)
+from tallyhouse.operators.totals import mean_and_median
 from tallyhouse.plans import accesslog, buildings, staff, strings, weblogs
 from tallyhouse.plans import purchases as shop
 from tallyhouse.session import fresh_path
@@ -39,7 +46,7 @@ QUERIES: dict[str, Query] = {}
 
 # Bounds the oracle SQL repeats.
 CURRENT_YEAR = 2000
-FIRST_DECADE = 1990
+FIRST_DECADE = 1900
 MIN_PRICE = 60_000
 MIN_BALANCE = 5000
 
@@ -102,6 +109,12 @@ def csv_logs(spark, sf_dir):
     return weblogs.method_counts(read_csv(spark, path, WEB_LOGS).filter("response_code = 404"))
 
 
+@query
+def web_log_report(spark, sf_dir):
+    """The whole log analysis from one scan."""
+    return weblogs.report(web_logs(spark, sf_dir))
+
+
 # Raw access log
 
 
@@ -137,6 +150,15 @@ def access_log_report(spark, sf_dir):
     return accesslog.report(read_access_log(spark, path))
 
 
+@query
+def access_log_no_post(spark, sf_dir):
+    """A log in which one of the reported methods never occurs."""
+    method = F.col("method")
+    return accesslog.reported_methods(
+        _requests(spark, sf_dir).filter(method.isNull() | (method != "POST"))
+    )
+
+
 # Building register
 
 
@@ -176,6 +198,18 @@ def duplicate_groups_(spark, sf_dir):
     return duplicate_groups(table(spark, sf_dir, "documents").select("text", "lang"))
 
 
+@query
+def empty_row_records_(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    users = events.select(F.nullif("event_type", F.lit("signup")).alias("kind"), "user_id")
+    return empty_row_records(users)
+
+
+@query
+def repeated_row_records_(spark, sf_dir):
+    return repeated_row_records(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
 @query
 def quality_report(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
@@ -223,6 +257,19 @@ def extremes_by_group(spark, sf_dir):
     return buildings.square_extremes(part_sizes(spark, sf_dir))
 
 
+@query
+def order_dates_by_customer(spark, sf_dir):
+    """First and last order of each customer: extremes of a date."""
+    orders = table(spark, sf_dir, "orders")
+    labelled = orders.withColumn("label", F.concat(F.lit("Order "), F.col("o_orderkey")))
+    return extremes(labelled, "o_custkey", "o_orderdate", "label")
+
+
+@query
+def quantity_mean_median(spark, sf_dir):
+    return mean_and_median(table(spark, sf_dir, "lineitem"), "l_quantity", 2)
+
+
 @query
 def extreme_rows_by_group_(spark, sf_dir):
     return extreme_rows_by_group(
@@ -275,12 +322,17 @@ def incremental_keys(spark, sf_dir):
 def _load_twice(spark, sf_dir):
     """A warehouse table after loading the finished orders and then all orders."""
     name = f"houses_{uuid.uuid4().hex}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    create_houses_table(spark, name, buckets=buckets, location=fresh_path(spark, "houses"))
+    create_houses_table(spark, name, buckets=16, location=fresh_path(spark, "houses"))
     register = _cleaned(spark, sf_dir)
-    load_new_rows(register.filter(F.col("description").endswith("F")), name)
-    load_new_rows(register, name)
-    return read_warehouse(spark, name)
+    finished = F.col("description").endswith("F")
+    repeats = register.filter((F.col("house_id") % 89 == 0) & ~finished)
+    no_key = register.limit(100).withColumn("house_id", F.lit(None).cast("long"))
+    load_new_rows(register.filter(finished), name)
+    load_new_rows(register.unionByName(repeats).unionByName(no_key), name)
+    houses = read_warehouse(spark, name)
+    # The files stay at their place for the result; only the name goes.
+    spark.sql(f"DROP TABLE {name}")
+    return houses
 
 
 @query
@@ -314,8 +366,7 @@ def total_revenue(spark, sf_dir):
 
 @query
 def items_by_category(spark, sf_dir):
-    lists = shop.items_by_category(part_catalogue(spark, sf_dir))
-    return lists.withColumn("items", F.concat_ws(", ", "items"))
+    return shop.items_by_category(part_catalogue(spark, sf_dir))
 
 
 @query
@@ -396,7 +447,7 @@ def sql_count_not_null(spark, sf_dir):
 
 @query
 def known_population(spark, sf_dir):
-    """Rows per locality among those with a usable population."""
+    """Number of rows with a usable population and a locality."""
     known = _cleaned(spark, sf_dir).filter(F.col("population").isNotNull())
     return count_where(known, F.col("locality_name").isNotNull())
 

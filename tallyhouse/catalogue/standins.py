@@ -38,21 +38,28 @@ def web_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def access_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """events rendered as raw access-log lines."""
+    """events rendered as raw access-log lines, some of them blank, short or without a url."""
+    head = F.concat(
+        F.col("ip"), F.lit(" - - ["), F.date_format("timestamp", "dd/MMM/yyyy:HH:mm:ss"), F.lit(" +0000]")
+    )
+    request = F.concat(head, F.lit(' "'), F.col("method"))
+    whole = F.concat(
+        request,
+        F.lit(" "),
+        F.col("url"),
+        F.lit(' HTTP/1.1" '),
+        F.col("response_code"),
+        F.lit(" "),
+        F.col("response_size"),
+    )
+    kind = F.col("response_size") % 40
     return web_logs(spark, sf_dir).select(
-        F.concat(
-            F.col("ip"),
-            F.lit(" - - ["),
-            F.date_format("timestamp", "dd/MMM/yyyy:HH:mm:ss"),
-            F.lit(' +0000] "'),
-            F.col("method"),
-            F.lit(" "),
-            F.col("url"),
-            F.lit(' HTTP/1.1" '),
-            F.col("response_code"),
-            F.lit(" "),
-            F.col("response_size"),
-        ).alias("value")
+        F.when(kind == 0, "")
+        .when(kind == 1, F.concat(F.lit("  "), "ip", F.lit(" ")))
+        .when(kind == 2, head)
+        .when(kind == 3, request)
+        .otherwise(whole)
+        .alias("value")
     )
 
 
@@ -63,11 +70,17 @@ def building_register(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer_text = F.col("o_custkey").cast("string")
     region = F.concat(F.lit("R"), customer_text)
     address = F.concat(F.lit("Order "), F.col("o_orderkey"))
+    order = F.col("o_orderkey")
+    # Built over twelve decades; one order in fifty has a year at a bound or beyond it.
+    year = F.year("o_orderdate") - order % 12 * 10
+    for remainder, odd in enumerate([205, 1000, 1001, 1999, 2000, 2025]):
+        year = F.when(order % 50 == remainder, odd).otherwise(year)
+    place = F.concat(F.nullif(priority, F.lit("4-NOT SPECIFIED")), F.lit("/"), F.col("o_custkey") % 4)
     return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("house_id"),
         (F.col("o_custkey") / 1000).alias("latitude"),
         (F.col("o_orderkey") / 1000).alias("longitude"),
-        F.when(status != "P", F.concat(F.year("o_orderdate"), F.lit(".0"))).alias(
+        F.when(status != "P", F.concat(year, F.lit(".0"))).alias(
             "maintenance_year"
         ),
         F.when(priority == "1-URGENT", "—")
@@ -80,7 +93,7 @@ def building_register(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(customer_text)
         .alias("population"),
         region.alias("region"),
-        F.nullif(priority, F.lit("4-NOT SPECIFIED")).alias("locality_name"),
+        place.alias("locality_name"),
         address.alias("address"),
         F.concat(region, F.lit(", "), address).alias("full_address"),
         F.when(status == "O", "").otherwise(customer_text).alias("communal_service_id"),

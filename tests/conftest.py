@@ -26,6 +26,22 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture
+def settings(spark):
+    """Change session settings for one test."""
+    before = {}
+
+    def change(**values):
+        for name, value in values.items():
+            key = name.replace("__", ".")
+            before.setdefault(key, spark.conf.get(key))
+            spark.conf.set(key, value)
+
+    yield change
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
 def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 

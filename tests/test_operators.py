@@ -9,8 +9,15 @@ from pyspark.sql import functions as F
 
 from tallyhouse.operators.counts import count_by, distinct_count, top_rows
 from tallyhouse.operators.extremes import extreme_rows_by_group, extremes_by_group
-from tallyhouse.operators.keys import new_rows
-from tallyhouse.operators.quality import duplicate_groups, empty_rows, quality_report
+from tallyhouse.operators.keys import known_keys, new_rows
+from tallyhouse.operators.quality import (
+    duplicate_groups,
+    empty_row_records,
+    empty_rows,
+    quality_report,
+    repeated_row_records,
+)
+from tallyhouse.operators.totals import mean_and_median
 from tallyhouse.plans import staff
 from tallyhouse.sinks.jdbc import write_jdbc
 from tallyhouse.sources.files import first_rows
@@ -103,6 +110,54 @@ def test_extremes_of_whole_numbers_reach_the_type_bounds(spark):
     assert rows(extreme_rows_by_group(df, "g", "v", "n", largest=True)) == [("g", high, "b")]
 
 
+def test_extremes_of_dates_times_and_text(spark):
+    values = {
+        "date": [f"DATE'2020-01-{d:02d}'" for d in (3, 1, 3, 1)],
+        "timestamp": [f"TIMESTAMP'2020-01-01 00:00:{d:02d}'" for d in (3, 1, 3, 1)],
+        "string": ["'b'", "'a'", "'b'", "'a'"],
+    }
+    for kind, own in values.items():
+        sql = " UNION ALL ".join(
+            f"SELECT 'g' AS g, {v} AS v, '{n}' AS n" for v, n in zip(own, "dcab")
+        )
+        df = spark.sql(f"{sql} UNION ALL SELECT 'g', CAST(NULL AS {kind}), '0'")
+        low, high = df.agg(F.min("v"), F.max("v")).head()
+        assert rows(extremes_by_group(df, "g", "v", "n")) == [("g", "b", low, "a", high)]
+        assert rows(extreme_rows_by_group(df, "g", "v", "n", largest=True)) == [("g", high, "a")]
+        assert rows(extreme_rows_by_group(df, "g", "v", "n")) == [("g", low, "b")]
+
+
+def test_mean_and_median_of_any_number(spark):
+    df = spark.createDataFrame([(1.5,), (2.5,), (10.0,), (None,)], "x double")
+    assert one(mean_and_median(df, "x", 2)) == (4.67, 2.5)
+    assert one(mean_and_median(df.filter("x > 99"), "x")) == (None, None)
+
+
+def test_repeated_and_empty_rows_themselves(spark):
+    df = spark.createDataFrame(QUALITY, "x int, y string")
+    assert rows(repeated_row_records(df)) == [(1, None, 3)]
+    assert rows(empty_row_records(df)) == [(None, "b")]
+
+
+def test_wide_types_are_compared_whole(spark):
+    df = spark.sql(
+        "SELECT * FROM VALUES (array(1, null), X'00ff', struct(null AS a, 1 AS b)),"
+        " (array(1, null), X'00ff', struct(null AS a, 1 AS b)),"
+        " (array(1), X'00fe', struct(2 AS a, 1 AS b)), (null, null, null), (null, null, null) AS t(p, q, r)"
+    )
+    assert one(duplicate_groups(df)) == (2,)
+    assert sorted(r.n for r in repeated_row_records(df).collect()) == [2, 2]
+    times = spark.sql("SELECT struct(timestamp_micros(id)) AS s FROM range(3)")
+    assert one(duplicate_groups(times)) == (0,)
+
+
+def test_known_keys_are_distinct(spark):
+    batch = spark.createDataFrame([(1,), (2,), (2,), (None,)], "k int")
+    stored = spark.range(1000).selectExpr("int(id % 5) AS k")
+    for buckets in (None, 4):
+        assert sorted(rows(known_keys(batch, stored, "k", buckets=buckets))) == [(1,), (2,)]
+
+
 def test_new_rows_with_one_key_in_a_third_of_the_batch(spark):
     batch = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 50 != 1, F.col("id")).alias("k"),
@@ -122,20 +177,27 @@ def test_new_rows_against_an_empty_table(spark):
 
 
 def test_staff_filters(spark, employees):
-    assert staff.at_least(employees, "salary", 60000).count() == 3
+    assert staff.at_least(employees, "salary", 60000).count() == 4
     assert staff.at_least(employees, "salary", 65000).count() == 2
     assert sorted(rows(staff.at_least_by_sql(employees, "salary", 65000, "staff_view"))) == sorted(
         rows(staff.at_least(employees, "salary", 65000))
     )
-    sql = "SELECT name FROM {staff} WHERE salary >= 90000"
-    assert rows(read_view(spark, sql, staff=employees)) == [("Ben",)]
+    sql = "SELECT name FROM {staff} WHERE salary > 65000"
+    assert rows(read_view(spark, sql, staff=employees)) == [("Ife",)]
 
 
 def test_people(people):
-    assert staff.with_value(people, "Profession", "Engineer").count() == 2
+    assert staff.with_value(people, "Profession", "Baker").count() == 3
     by_age = staff.sorted_descending(people.select("Name", "Age"), "Age", "Name")
-    assert [r.Age for r in by_age.collect()] == [35, 30, 28, 25, 22]
-    assert [r.Name for r in first_rows(people, 2, "Name").collect()] == ["Ann", "Ben"]
+    assert rows(by_age) == [
+        ("Clara", 63),
+        ("Noor", 52),
+        ("Pavel", 41),
+        ("Soren", 41),
+        ("Amina", 19),
+        ("Yuki", None),
+    ]
+    assert [r.Name for r in first_rows(people, 2, "Name").collect()] == ["Amina", "Clara"]
 
 
 # No database may be started here, so these check what Spark's JDBC source is asked for.

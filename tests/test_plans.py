@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 
 import fixtures
@@ -9,17 +10,16 @@ import pytest
 from conftest import plan_of
 from pyspark.sql import functions as F
 
-import __spark_entry__ as contract
+from tallyhouse.catalogue.queries import QUERIES
 from tallyhouse.operators.extremes import extreme_rows_by_group
 from tallyhouse.operators.keys import known_keys, new_rows
 from tallyhouse.operators.quality import empty_rows
 from tallyhouse.plans import accesslog, buildings, purchases, staff, weblogs
-from tallyhouse.session import shared_folder
+from tallyhouse.session import remove, shared_folder, stage
 from tallyhouse.sinks.tables import create_houses_table, load_new_rows
 from tallyhouse.sources.files import read_access_log
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = contract.queries()
 
 
 @pytest.fixture(scope="module")
@@ -36,22 +36,6 @@ def stored(spark, tmp_path_factory):
     return {name: spark.read.parquet(str(folder / name)) for name in tables}
 
 
-@pytest.fixture
-def settings(spark):
-    """Change session settings for one test."""
-    before = {}
-
-    def change(**values):
-        for name, value in values.items():
-            key = name.replace("__", ".")
-            before.setdefault(key, spark.conf.get(key))
-            spark.conf.set(key, value)
-
-    yield change
-    for key, value in before.items():
-        spark.conf.set(key, value)
-
-
 @pytest.mark.parametrize("name", QUERIES)
 def test_no_python_rows_and_no_cartesian_join(spark, name):
     plan = plan_of(QUERIES[name](spark, SF_DIR))
@@ -107,13 +91,60 @@ def test_only_needed_columns_are_read(stored):
 
 
 def test_extremes_are_one_aggregate(stored):
-    for df in (
-        buildings.square_extremes(stored["cleaned"]),
-        extreme_rows_by_group(stored["cleaned"], "region", "square", "house_id"),
-    ):
-        plan = plan_of(df)
-        assert plan.count("Exchange") == 1 and "partial_min_by" in plan
-        assert "Window" not in plan and "Join" not in plan
+    plan = plan_of(buildings.square_extremes(stored["cleaned"]))
+    assert plan.count("Exchange") == 1 and "partial_min_by" in plan
+    assert "Window" not in plan and "Join" not in plan
+
+
+def test_extreme_rows_are_limited_before_the_shuffle(stored):
+    plan = plan_of(extreme_rows_by_group(stored["cleaned"], "region", "square", "house_id"))
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+    assert "WindowGroupLimit" in plan.split("Exchange")[1]
+
+
+def test_log_analysis_scans_the_log_once(stored, monkeypatch):
+    plans = []
+
+    def watch(df, label):
+        plans.append(plan_of(df))
+        return stage(df, label)
+
+    monkeypatch.setattr(weblogs, "stage", watch)
+    results = weblogs.run_all(stored["logs"])
+    assert len(plans) == 1 and plans[0].count("FileScan") == 1
+    assert all("log-facets" in plan_of(df) for df in results.values())
+
+
+def test_load_writes_about_one_file_per_bucket(spark, settings, tmp_path):
+    settings(spark__sql__shuffle__partitions="200")
+    create_houses_table(spark, "houses_files", buckets=64, location=str(tmp_path / "t"))
+    rows = spark.range(20_000).selectExpr(
+        "id AS house_id", "0.0D AS latitude", "0.0D AS longitude", "1 AS maintenance_year",
+        "1.0F AS square", "1L AS population", "'r' AS region", "'l' AS locality_name",
+        "'a' AS address", "'f' AS full_address", "2L AS communal_service_id", "'d' AS description",
+    )
+    assert load_new_rows(rows, "houses_files") == 20_000
+    assert len(list((tmp_path / "t").glob("*.parquet"))) == 64
+    more = rows.withColumn("house_id", F.when(F.col("house_id") % 3 == 0, -7).otherwise(F.col("house_id")))
+    assert load_new_rows(more, "houses_files") == 6667
+    # The hot key now stored: both ways of reading the table find the same known keys.
+    table = spark.table("houses_files")
+    both = [
+        sorted(r.house_id for r in known_keys(more, t, "house_id", buckets=b).collect())
+        for t, b in ((table, 64), (spark.read.parquet(str(tmp_path / "t")), None))
+    ]
+    assert both[0] == both[1] and len(set(both[0])) == len(both[0])
+    assert load_new_rows(more, "houses_files", repeated_keys=True) == 0
+    assert load_new_rows(more, "houses_files") == 0
+    spark.sql("DROP TABLE houses_files")
+
+
+def test_stored_keys_are_made_distinct_where_they_are_read(spark, settings, tmp_path):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    spark.range(10).selectExpr("id % 3 AS house_id").write.parquet(str(tmp_path / "t"))
+    keys = spark.read.parquet(str(tmp_path / "t"))
+    left = plan_of(known_keys(keys, keys, "house_id")).split("LeftSemi")[1].split("\n   +- ", 1)[0]
+    assert left.index("Exchange") < left.rindex("HashAggregate")
 
 
 def test_access_log_is_parsed_in_one_scan(spark, tmp_path):
@@ -137,7 +168,7 @@ def test_load_leaves_the_bucketed_table_where_it_is(spark, stored, settings, tmp
     keys = plan_of(known_keys(stored["cleaned"], table, "house_id", buckets=3))
     fresh = plan_of(new_rows(stored["cleaned"], table, "house_id", buckets=3))
     spark.sql("DROP TABLE houses_plan")
-    left, right = keys.split("LeftSemi")[1].split("\n   +- ", 1)
+    left, right = re.split(r"\n\s+\+- (?=Sort|AQE|Exchange)", keys.split("LeftSemi")[1], maxsplit=1)
     assert "Bucketed: true" in left and "Exchange" not in left
     assert "Exchange hashpartitioning(house_id" in right
     # Both sides of the second join are shuffles, which is what AQE needs to split a hot key.
@@ -165,41 +196,32 @@ def test_hot_key_of_a_load_is_split(spark, settings, tmp_path):
     assert "SortMergeJoin(skew=true)" in plan_of(final)
 
 
-def test_second_scan_of_the_item_lists_is_reused(spark):
-    df = QUERIES["items_by_category"](spark, SF_DIR)
-    df.collect()
-    assert "ReusedExchange" in plan_of(df)
-
-
 def test_shared_folder_is_the_one_the_session_names(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
-class SessionWithoutFolder:
-    """A session in which the setting is absent, on a given master."""
-
-    def __init__(self, master):
-        self.conf = self.sparkContext = self
-        self.master, self.folder = master, None
-
-    def get(self, key, default):
-        return default
-
-    def getCheckpointDir(self):
-        return self.folder
+def test_without_a_named_folder_the_warehouse_is_used():
+    class Session:
+        conf = {"spark.sql.warehouse.dir": "store://warehouse/"}
 
-    def setCheckpointDir(self, folder):
-        self.folder = folder
+    assert shared_folder(Session) == "store://warehouse/_tallyhouse"
 
 
-def test_a_cluster_without_shared_folder_is_an_error():
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        shared_folder(SessionWithoutFolder("yarn"))
+def test_staged_tables_can_be_removed(spark, tmp_path):
+    table = stage(spark.range(3), "gone")
+    path = table.staged_at.removeprefix("file:")
+    assert os.path.isdir(path)
+    remove(spark, table.staged_at)
+    assert not os.path.exists(path)
+    with pytest.raises(ValueError):
+        remove(spark, str(tmp_path))
 
 
-def test_a_local_session_without_shared_folder_gets_one_and_keeps_it():
-    session = SessionWithoutFolder("local[8]")
-    assert shared_folder(session) == shared_folder(session) == session.folder
+def test_repeated_loads_leave_no_table_behind(spark):
+    before = {t.name for t in spark.catalog.listTables()}
+    for _ in range(2):
+        assert QUERIES["incremental_load"](spark, SF_DIR).count() > 0
+    assert {t.name for t in spark.catalog.listTables()} == before
 
 
 def test_sorted_result_is_cut_by_both_sort_columns(spark):
