@@ -42,7 +42,8 @@ def components(edges: DataFrame) -> DataFrame:
         )
         large = stage(large, "links")
         least = large.groupBy("a").agg(F.min("b").alias("root"))
-        moved = large.join(least, "a").filter("b <> root").select(F.col("b").alias("a"), F.col("root").alias("b"))
+        moved = large.join(least, "a").filter("b <> root")
+        moved = moved.select(F.col("b").alias("a"), F.col("root").alias("b"))
         kept = least.select("a", F.col("root").alias("b"))
         edges = stage(moved.union(kept).distinct(), "links")
         remove(spark, large.staged_at)

@@ -1,10 +1,10 @@
 """Language by multinomial naive Bayes over hashed character n-grams.
 
-A text's features are its lower-cased n-grams of one to four characters, hashed into BUCKETS. Learning counts
-them per language on a sample of at most about `rows_per_language` texts of each; the matrix
-of log probabilities, languages times BUCKETS numbers and at most MOST_LANGUAGES of them, is broadcast. Scoring
-gathers the matrix rows of all n-grams of a batch and adds them up per text; very long texts
-are gathered piece by piece, and every character counts.
+A text's features are its lower-cased n-grams of one to four characters, hashed into BUCKETS.
+Learning counts them per language on a sample of at most about `rows_per_language` texts of
+each; the matrix of log probabilities, BUCKETS numbers for each of at most MOST_LANGUAGES
+languages, is broadcast. Scoring gathers the matrix rows of a text's n-grams and adds them up;
+very long texts are gathered piece by piece, and every character counts.
 
 The score is the posterior of the best language with the evidence of EVIDENCE n-grams at most,
 as overlapping n-grams repeat each other.

@@ -122,9 +122,10 @@ def fit_exponent(sources: DataFrame, target: Target) -> float:
 
 def weigh_sources(rows: DataFrame, mix: Mix) -> tuple[DataFrame, float]:
     """source, rows, tokens, share, weight, quota (tokens) of every source; and the budget."""
-    totals = stage(
-        rows.groupBy("source").agg(F.count(F.lit(1)).alias("rows"), F.sum("n_tokens").alias("tokens")), "sources"
+    totals = rows.groupBy("source").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("n_tokens").alias("tokens")
     )
+    totals = stage(totals, "sources")
     tokens = totals.agg(F.sum("tokens")).first()[0] or 0
     shares = totals.withColumn("share", F.col("tokens") / F.lit(float(max(tokens, 1))))
     exponent = fit_exponent(shares, mix.target) if tokens else 1.0
@@ -146,12 +147,13 @@ def plan(rows: DataFrame, mix: Mix = Mix()) -> DataFrame:
     weighed, budget = weigh_sources(rows, mix)
     blocks = max(1, round(budget / mix.block_tokens))
     epochs = F.sequence(F.lit(0), (F.ceil(F.col("quota") / F.col("tokens")) - 1).cast("int"))
+    buckets_of_source = F.ceil(F.col("rows") / BUCKET_ROWS)
     weighed = weighed.withColumnRenamed("source", "_source")
     copies = (
         rows.join(weighed, F.col("source").eqNullSafe(F.col("_source")))
         .withColumn("epoch", F.explode(epochs))
         .withColumn("draw", F.pmod(F.xxhash64(F.lit(mix.seed), "epoch", *ROW), F.lit(1 << 53)))
-        .withColumn("bucket", F.floor(F.col("draw") / F.lit(float(1 << 53)) * F.ceil(F.col("rows") / BUCKET_ROWS)))
+        .withColumn("bucket", F.floor(F.col("draw") / F.lit(float(1 << 53)) * buckets_of_source))
         .select(*ROW, "source", "n_tokens", "tokens", "quota", "epoch", "draw", "bucket")
     )
     stream = ["source", "epoch"]
@@ -197,10 +199,18 @@ def counted(docs: DataFrame, text_col: str, source_col: str) -> DataFrame:
 
 
 def mix_plan(
-    docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: str = "text", source_col: str = "source"
+    docs: DataFrame,
+    mix: Mix = Mix(),
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
 ) -> DataFrame:
     """doc_id, source, n_tokens, epoch, block and place: the mix without its texts."""
-    narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(source_col).alias("source"))
+    narrow = docs.select(
+        F.col(id_col).alias("doc_id"),
+        F.col(text_col).alias("text"),
+        F.col(source_col).alias("source"),
+    )
     rows = with_row(narrow).select(*ROW, "doc_id", "source", token_counts("text").alias("n_tokens"))
     rows = stage(rows, "token-counts")
     ids = rows.select(*ROW, "doc_id").dropDuplicates(ROW)

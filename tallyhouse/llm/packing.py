@@ -37,10 +37,13 @@ GROUP = 20_000
 MOST_PIECES = 50_000
 STEPS = 20_000
 PASSES = 4
+PAIRED = 32
 PIECES = "doc_id {id}, piece int, start long, length long, ids_crc32 long"
 
 
-def cut(docs: DataFrame, id_col: str, text_col: str, capacity: int, path: str | None, ids: bool) -> DataFrame:
+def cut(
+    docs: DataFrame, id_col: str, text_col: str, capacity: int, path: str | None, ids: bool
+) -> DataFrame:
     """Pieces of every document, in order; with their ids as bytes if asked for."""
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
@@ -98,7 +101,9 @@ def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
     return bins
 
 
-def improve(bins: list[list[int]], lengths: np.ndarray, capacity: int, steps: int = STEPS) -> list[list[int]]:
+def improve(
+    bins: list[list[int]], lengths: np.ndarray, capacity: int, steps: int = STEPS
+) -> list[list[int]]:
     """Local search: empty the emptiest bins into other underfull ones."""
     fill = [int(lengths[b].sum()) for b in bins]
     needed = ceil(int(lengths.sum()) / capacity)
@@ -136,7 +141,13 @@ def step(source, takers, bins, fill, lengths, capacity):
     item = np.array([x for k in takers for x in bins[k]])
     owner = np.array([k for k in takers for _ in bins[k]])
     size, free = lengths[item], np.array([room[k] for k in owner])
-    pairs = [(k, x, y) for k in takers for i, x in enumerate(bins[k]) for y in bins[k][i + 1 :]] if len(takers) <= 64 else []
+    # Pairs of the fullest takers only: an exchange of one for two needs little room.
+    pairs = [
+        (k, x, y)
+        for k in sorted(takers, key=room.__getitem__)[:PAIRED]
+        for i, x in enumerate(bins[k])
+        for y in bins[k][i + 1 :]
+    ]
     best, best_gain = None, 0
 
     def better(gain, make):
@@ -237,5 +248,6 @@ def sequences(
     parts = packed.join(content, same).select("sequence_id", F.struct("offset", "ids").alias("part"))
     # A sequence holds at most `capacity` ids, so its parts fit one row.
     gathered = parts.groupBy("sequence_id").agg(F.array_sort(F.collect_list("part")).alias("parts"))
-    ids = F.aggregate("parts", F.lit(b"").cast("binary"), lambda all_, part: F.concat(all_, part["ids"]))
+    nothing = F.lit(b"").cast("binary")
+    ids = F.aggregate("parts", nothing, lambda all_, part: F.concat(all_, part["ids"]))
     return gathered.select("sequence_id", ids.alias("ids"))

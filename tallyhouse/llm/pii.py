@@ -395,7 +395,7 @@ def written(spans: Column) -> Column:
 
 
 def redact(docs: DataFrame, text_col: str = "text", spans_col: str = "spans") -> DataFrame:
-    """docs with each span of its text replaced by its kind in brackets, overlapping ones by the first's."""
+    """docs with each span of its text replaced by its kind in brackets; overlapping ones count as the first."""
     names = F.array(*(F.lit(f"[{kind.upper()}]") for kind in KINDS))
     text = F.col(text_col)
 

@@ -45,7 +45,8 @@ def canonical(url: Column) -> Column:
         lambda p: (p != "") & ~p.startswith("utm_"),
     )
     query = F.array_join(F.array_sort(parameters), "&")
-    full = F.concat(host, F.when(path == "", "/").otherwise(path), F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""))
+    place = F.when(path == "", "/").otherwise(path)
+    full = F.concat(host, place, F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""))
     return F.when(plain.rlike(start), full).otherwise(plain)
 
 
@@ -53,9 +54,16 @@ def header(headers: str, name: str) -> Column:
     return F.get(F.map_values(F.map_filter(headers, lambda k, _: F.lower(k) == name)), F.lit(0))
 
 
+def known_headers() -> Column:
+    return F.coalesce("headers", F.create_map().cast("map<string,string>"))
+
+
 def lower_names(headers: Column) -> Column:
     """Headers with names in lower case; of names that then agree, the first counts."""
-    entries = F.transform(F.map_entries(headers), lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")))
+    entries = F.transform(
+        F.map_entries(headers),
+        lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")),
+    )
     names = F.array_distinct(F.transform(entries, lambda e: e["key"]))
     return F.map_from_arrays(
         names, F.transform(names, lambda n: F.get(F.filter(entries, lambda e: e["key"] == n), F.lit(0))["value"])
@@ -87,7 +95,7 @@ def resolutions(records: DataFrame) -> DataFrame:
             "ts",
             full.alias("full"),
             canonical(F.col("url")).alias("url_key"),
-            F.when(revisit, lower_names(F.coalesce("headers", F.create_map().cast("map<string,string>")))).alias("headers"),
+            F.when(revisit, lower_names(known_headers())).alias("headers"),
             header("headers", "etag").alias("etag"),
             header("headers", "last-modified").alias("modified"),
         )
@@ -156,10 +164,11 @@ def resolve(records: DataFrame) -> DataFrame:
         F.col("record_id").alias("stored_id"),
         F.lit(True).alias("stands"),
         F.col("payload"),
-        lower_names(F.coalesce("headers", F.create_map().cast("map<string,string>"))).alias("stored"),
+        lower_names(known_headers()).alias("stored"),
     )
     # An unresolved revisit joins by its own id, which no response has under this flag, so that
     # those without a response are not all dealt to one task.
+    headers = merged_headers(F.col("stored"), F.col("headers"))
     joined = found.join(
         stored,
         (F.coalesce(found["response_id"], found["record_id"]) == stored["stored_id"])
@@ -173,5 +182,5 @@ def resolve(records: DataFrame) -> DataFrame:
         "outcome",
         "response_id",
         "payload",
-        F.when(F.col("response_id").isNotNull(), merged_headers(F.col("stored"), F.col("headers"))).alias("headers"),
+        F.when(F.col("response_id").isNotNull(), headers).alias("headers"),
     )

@@ -155,8 +155,13 @@ def keep_passing(
     text_col: str = "text",
     rules: Sequence[Rule] = RULES,
 ) -> DataFrame:
-    """Rows of docs, unchanged, whose text passes the policy. No shuffle: the ledger row is made beside its text."""
-    measured = docs.select(F.struct(*docs.columns).alias("_doc"), measurements(F.col(text_col)).alias("_m"))
+    """Rows of docs, unchanged, whose text passes the policy.
+
+    No shuffle: the ledger row is made beside its text.
+    """
+    measured = docs.select(
+        F.struct(*docs.columns).alias("_doc"), measurements(F.col(text_col)).alias("_m")
+    )
     ledger = measured.select("_doc", "_m.*").withColumn("fail_bits", fail_bits(rules))
     return ledger.filter(passes(policy, rules)).select("_doc.*")
 

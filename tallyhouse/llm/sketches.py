@@ -166,15 +166,14 @@ def in_order(docs: DataFrame, id_col: str, text_col: str, range_bytes: int = RAN
         F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("key"),
         F.xxhash64(F.col(id_col), text).alias("id"),
     )
-    keys = stage(rows.select("key", "id", (F.octet_length("text") + 1).cast("long").alias("size")), "order")
+    size = (F.octet_length("text") + 1).cast("long").alias("size")
+    keys = stage(rows.select("key", "id", size), "order")
     total = keys.agg(F.sum("size")).first()[0] or 0
     splitters = splitters_for(keys, total, ceil(total / range_bytes))
     ranged = rows.withColumn("range", range_of(splitters, F.col("key"), F.col("id")))
-    place = range_of(splitters, F.col("key"), F.col("id"))
-    firsts = sorted(
-        (row["range"], *row["first"])
-        for row in keys.groupBy(place.alias("range")).agg(F.min(F.struct("key", "id")).alias("first")).collect()
-    )
+    place = range_of(splitters, F.col("key"), F.col("id")).alias("range")
+    least = F.min(F.struct("key", "id")).alias("first")
+    firsts = sorted((row["range"], *row["first"]) for row in keys.groupBy(place).agg(least).collect())
     moves = [(firsts[i - 1][0], key, id_) for i, (_, key, id_) in enumerate(firsts)]
     spark = docs.sparkSession
     starts = F.broadcast(spark.createDataFrame(moves, "to int, key long, id long"))
