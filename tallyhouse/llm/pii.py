@@ -366,8 +366,10 @@ def find_spans(
         return a["base"] | (a["score"] > b["score"]) | same
 
     docs = with_candidates(docs.drop(spans_col), text_col)
-    chosen = F.filter("_candidates", lambda c: c["base"] | (model.score(c) >= model.threshold(c)))
-    docs = docs.withColumn("_chosen", F.transform(chosen, scored))
+    # Each candidate is scored once, and the trees stand in the plan once.
+    all_ = F.transform("_candidates", scored)
+    chosen = F.filter(all_, lambda c: c["base"] | (c["score"] >= model.threshold(c)))
+    docs = docs.withColumn("_chosen", chosen)
     base = F.filter("_chosen", lambda c: c["base"])
     added = F.filter(
         F.filter("_chosen", lambda c: ~c["base"]),
