@@ -1,9 +1,11 @@
 from __future__ import annotations
 
 import zlib
+from functools import lru_cache
 from math import ceil
 
 import numpy as np
+import public_tokenizers
 import pytest
 from samples import AWKWARD, awkward, clashing, empty, given
 from tokenizers import Tokenizer
@@ -12,11 +14,13 @@ from tallyhouse.llm import packing
 from tallyhouse.llm.tokens import document_ids, word_ids
 
 
-def plain_ids(text):
-    import public_tokenizers
+@lru_cache
+def whole_tokenizer():
+    return Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+
 
-    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    return [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
+def plain_ids(text):
+    return [*whole_tokenizer().encode(text or "", add_special_tokens=False).ids, 1]
 
 
 ODD = [
