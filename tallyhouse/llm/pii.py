@@ -3,11 +3,17 @@
 Generators propose spans of four kinds, strict forms and loose ones, which may overlap. A strict
 span that passes its check (address parts, Luhn sum, number of digits) is a base span and always
 stays. Every other candidate is scored by boosted trees over its format (digits, separators,
-leading character, strict or loose) and its context (key words before it, the characters
-on either side). The trees learn on the whole table which candidates are base spans or lie inside
-one of their kind; the check itself is no feature. A candidate is added if its score reaches its
-kind's threshold, the lowest at which held-out candidates are right often enough, and if it overlaps
-no base span and no better added one.
+leading character, strict or loose) and the characters on either side. A candidate is added if its
+score reaches its kind's threshold, the lowest at which held-out candidates are right often enough,
+and if it overlaps no base span and no better added one.
+
+The trees learn from the candidates of all distinct texts. Those that could be added, the open ones, overlap no
+base span; they count as right if a key word of their kind stands before them, else as wrong, so
+neither key words nor the check are features. Base spans are right, as they are and rewritten in the loose forms of
+their kind ('+' or the country left out, '@' as [at], '.' as [dot]); for each kind and form, strict or loose, they weigh at
+most as much as the open candidates, so that their number outvotes no evidence about those. Open candidates
+alone are held out. With few of them a threshold leans on the trees' own score, which counts
+as `PRIOR` held-out candidates.
 
 Everything on the executors is SQL functions. The features are small codes, so the table of distinct
 candidates, from which the driver grows the trees, has at most `CELLS` rows whatever the
@@ -66,6 +72,18 @@ GENERATORS = (
     Generator(PHONE, STRICT_PHONE, False, r"text RLIKE r'\+[0-9]'"),
     Generator(PHONE, LOOSE_PHONE, True, r"text RLIKE r'[0-9][ .)-]{1,2}[0-9]{2,4}[ .-]{1,2}[0-9]{2}'"),
 )
+#: Rewritings of a base span, each a list of (pattern, replacement), into loose forms of its kind.
+TWINS = {
+    EMAIL: (
+        (LOOSE_EMAIL, [("@", "[at]")]),
+        (LOOSE_EMAIL, [(r"\.", " [dot] "), ("@", " [at] ")]),
+        (LOOSE_EMAIL, [("@", " (at) ")]),
+    ),
+    PHONE: (
+        (LOOSE_PHONE, [(r"^\+", "")]),
+        (LOOSE_PHONE, [(r"^\+[0-9]{1,3}[ .-]*", "")]),
+    ),
+}
 VALID_IP = r"^(?:0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2}|)(?:\.|$)){4}$"
 KEY_WORDS = {
     EMAIL: "mail|contact|write to",
@@ -82,13 +100,12 @@ FEATURES = {
     "digits": 21,
     "separators": 5,
     "lead": 8,
-    "key_word": 2,
     "left": 3,
     "right": 3,
 }
 FOLDS = 5
 CELLS = int(np.prod(list(FEATURES.values()))) * FOLDS
-SPAN = "start long, end long, base boolean, " + ", ".join(f"{name} int" for name in FEATURES)
+SPAN = "start long, end long, base boolean, twin boolean, keyed boolean, " + ", ".join(f"{name} int" for name in FEATURES)
 
 ROUNDS = 40
 DEPTH = 3
@@ -96,7 +113,8 @@ RATE = 0.3
 SMOOTH = 1.0
 #: Share of held-out candidates at or above a threshold that must be right.
 PRECISION = 0.98
-LEAST_HELD_OUT = 20
+#: Held-out candidates that the score at a threshold counts as.
+PRIOR = 4.0
 
 
 def luhn(digits: Column) -> Column:
@@ -134,64 +152,93 @@ def lead(found: Column) -> Column:
     return codes.when(first.rlike("[A-Za-z]"), 7).otherwise(0)
 
 
-def candidates_of(generator: Generator, parts: Column, found: Column) -> Column:
-    """Spans of one generator, from the matches and the text between them."""
-
-    def one(at: Column, match: Column) -> Column:
-        text = match["found"]
-        digits = F.regexp_replace(text, "[^0-9]", "")
-        start = at + F.length(match["before"])
-        before = F.right(match["before"], F.lit(CONTEXT))
-        codes = {
-            "kind": F.lit(generator.kind),
-            "loose": F.lit(int(generator.loose)),
-            "digits": F.least(F.length(digits), F.lit(20)),
-            "separators": F.least(F.length(F.regexp_replace(text, "[^ ().-]", "")), F.lit(4)),
-            "lead": lead(text),
-            "key_word": F.lower(before).rlike(KEY_WORDS[generator.kind]).cast("int"),
-            "left": side(F.right(before, F.lit(1))),
-            "right": side(F.left(match["after"], F.lit(1))),
-        }
-        base = F.lit(False) if generator.loose else passes(generator.kind, text, digits)
-        return F.struct(
-            start.alias("start"),
-            (start + F.length(text)).alias("end"),
-            base.alias("base"),
-            *(code.cast("int").alias(name) for name, code in codes.items()),
-        )
+def nothing() -> Column:
+    return F.array().cast(f"array<struct<{typed(SPAN)}>>")
 
-    def append(seen: Column, match: Column) -> Column:
-        end = seen["at"] + F.length(match["before"]) + F.length(match["found"])
-        return F.struct(
-            end.alias("at"), F.concat(seen["spans"], F.array(one(seen["at"], match))).alias("spans")
-        )
 
-    matches = F.transform(
+def cut(parts: Column, found: Column) -> Column:
+    """The matches and the text on either side of each."""
+    return F.transform(
         found,
         lambda text, i: F.struct(
             text.alias("found"), F.get(parts, i).alias("before"), F.get(parts, i + 1).alias("after")
         ),
     )
-    nothing = F.struct(
-        F.lit(0).cast("long").alias("at"), F.array().cast(f"array<struct<{typed(SPAN)}>>").alias("spans")
+
+
+def described(
+    kind: int, start: Column, match: Column, text: Column, loose: bool, twin: bool = False
+) -> Column:
+    """A span with its codes."""
+    digits = F.regexp_replace(text, "[^0-9]", "")
+    before = F.right(match["before"], F.lit(CONTEXT))
+    codes = {
+        "kind": F.lit(kind),
+        "loose": F.lit(int(loose)),
+        "digits": F.least(F.length(digits), F.lit(20)),
+        "separators": F.least(F.length(F.regexp_replace(text, "[^ ().-]", "")), F.lit(4)),
+        "lead": lead(text),
+        "left": side(F.right(before, F.lit(1))),
+        "right": side(F.left(match["after"], F.lit(1))),
+    }
+    base = F.lit(False) if loose else passes(kind, text, digits)
+    return F.struct(
+        start.alias("start"),
+        (start + F.length(text)).alias("end"),
+        base.alias("base"),
+        F.lit(twin).alias("twin"),
+        F.lower(before).rlike(KEY_WORDS[kind]).alias("keyed"),
+        *(code.cast("int").alias(name) for name, code in codes.items()),
     )
-    return F.aggregate(matches, nothing, append, lambda seen: seen["spans"])
+
+
+def candidates_of(generator: Generator, parts: Column, found: Column) -> Column:
+    """Spans of one generator, from the matches and the text between them."""
+
+    def append(seen: Column, match: Column) -> Column:
+        start = seen["at"] + F.length(match["before"])
+        span = described(generator.kind, start, match, match["found"], generator.loose)
+        return F.struct(
+            (start + F.length(match["found"])).alias("at"),
+            F.concat(seen["spans"], F.array(span)).alias("spans"),
+        )
+
+    start = F.struct(F.lit(0).cast("long").alias("at"), nothing().alias("spans"))
+    return F.aggregate(cut(parts, found), start, append, lambda seen: seen["spans"])
+
+
+def twins_of(generator: Generator, parts: Column, found: Column) -> Column:
+    """The base spans of one generator, rewritten in loose forms; they start at the number of their match."""
+
+    def rewritten(match: Column, i: Column) -> Column:
+        text, twins = match["found"], []
+        base = passes(generator.kind, text, F.regexp_replace(text, "[^0-9]", ""))
+        for pattern, changes in TWINS[generator.kind]:
+            form = text
+            for old, new in changes:
+                form = F.regexp_replace(form, old, new)
+            twin = described(generator.kind, i.cast("long"), match, form, True, True)
+            whole = base & form.rlike(f"^(?:{pattern})$")
+            twins.append(F.when(whole, F.array(twin)).otherwise(nothing()))
+        return F.concat(*twins)
+
+    return F.flatten(F.transform(cut(parts, found), rewritten))
 
 
 def typed(fields: str) -> str:
     return ", ".join(": ".join(part.split(" ")) for part in fields.split(", "))
 
 
-def with_candidates(docs: DataFrame, text_col: str) -> DataFrame:
-    """docs with _candidates, the spans that any generator proposes."""
+def with_candidates(docs: DataFrame, text_col: str, twins: bool = False) -> DataFrame:
+    """docs with _candidates, the spans that any generator proposes, and twins of base spans if asked for."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     empty = F.array().cast("array<string>")
-    cut = {}
+    all_found = {}
     for nth, generator in enumerate(GENERATORS):
         needs = F.expr(generator.needs.replace("text", f"coalesce(`{text_col}`, '')", 1))
         found = F.regexp_extract_all(text, F.lit(f"({generator.pattern})"), F.lit(1))
-        cut[f"_found{nth}"] = F.when(needs, found).otherwise(empty)
-    docs = docs.withColumns(cut)
+        all_found[f"_found{nth}"] = F.when(needs, found).otherwise(empty)
+    docs = docs.withColumns(all_found)
     parts = {
         f"_parts{nth}": F.when(
             F.size(f"_found{nth}") > 0, F.split(text, generator.pattern, -1)
@@ -199,13 +246,13 @@ def with_candidates(docs: DataFrame, text_col: str) -> DataFrame:
         for nth, generator in enumerate(GENERATORS)
     }
     docs = docs.withColumns(parts)
-    spans = F.concat(
-        *(
-            candidates_of(generator, F.col(f"_parts{nth}"), F.col(f"_found{nth}"))
-            for nth, generator in enumerate(GENERATORS)
-        )
-    )
-    return docs.withColumn("_candidates", spans).drop(*cut, *parts)
+    spans = []
+    for nth, generator in enumerate(GENERATORS):
+        own = F.col(f"_parts{nth}"), F.col(f"_found{nth}")
+        spans.append(candidates_of(generator, *own))
+        if twins and not generator.loose and generator.kind in TWINS:
+            spans.append(twins_of(generator, *own))
+    return docs.withColumn("_candidates", F.concat(*spans)).drop(*all_found, *parts)
 
 
 def overlap(a: Column, b: Column) -> Column:
@@ -285,14 +332,29 @@ def grow(codes: np.ndarray, gradient: np.ndarray, curvature: np.ndarray, depth:
     )
 
 
-def fit_cells(codes: np.ndarray, right: np.ndarray, wrong: np.ndarray, held_out: np.ndarray) -> Model:
-    """Model from distinct candidates and how often each was right and wrong."""
+def fit_cells(
+    codes: np.ndarray,
+    right: np.ndarray,
+    wrong: np.ndarray,
+    held_out: np.ndarray,
+    sure: np.ndarray | None = None,
+) -> Model:
+    """Model from distinct candidates and how often each was right and wrong.
+
+    sure: how often each was a base span or a twin of one, never held out.
+    """
     model = Model()
     train = ~held_out
-    r, w, x = right[train], wrong[train], codes[train]
-    if r.sum() == 0 or w.sum() == 0:
+    learnt = right.copy()
+    if sure is not None:
+        form = codes[:, 0] * 2 + codes[:, 1]
+        open_ = np.bincount(form, right + wrong, 2 * len(KINDS))
+        known = np.bincount(form, sure, 2 * len(KINDS))
+        learnt += sure * np.minimum(1.0, open_ / np.maximum(known, 1.0))[form]
+    r, w, x = learnt[train], wrong[train], codes[train]
+    if r.sum() + w.sum() == 0:
         return model
-    model.prior = float(np.log(r.sum() / w.sum()))
+    model.prior = float(np.log((r.sum() + SMOOTH) / (w.sum() + SMOOTH)))
     margin = np.full(len(x), model.prior)
     for _ in range(ROUNDS):
         p = 1 / (1 + np.exp(-margin))
@@ -301,48 +363,49 @@ def fit_cells(codes: np.ndarray, right: np.ndarray, wrong: np.ndarray, held_out:
         margin += grown(tree, x)
     scores = 1 / (1 + np.exp(-model.margins(codes)))
     for kind in range(len(KINDS)):
-        own = held_out & (codes[:, 0] == kind)
+        own = codes[:, 0] == kind
         order = np.argsort(-scores[own], kind="stable")
-        s, good = scores[own][order], np.cumsum(right[own][order])
-        all_ = good + np.cumsum(wrong[own][order])
+        s = scores[own][order]
+        good = np.cumsum((right * held_out)[own][order])
+        all_ = good + np.cumsum((wrong * held_out)[own][order])
         ends = np.append(s[1:] != s[:-1], True) if len(s) else np.zeros(0, bool)
-        enough = ends & (all_ >= LEAST_HELD_OUT) & (good >= PRECISION * all_)
+        enough = ends & (good + PRIOR * s >= PRECISION * (all_ + PRIOR))
         if enough.any():
             model.thresholds[kind] = float(s[np.flatnonzero(enough)[-1]]) - 1e-9
     return model
 
 
 def fit(docs: DataFrame, text_col: str = "text") -> Model:
-    """Trees and thresholds learnt on all candidates of all texts."""
+    """Trees and thresholds learnt on all candidates of all distinct texts."""
     spans = F.col("_candidates")
-    inside = F.transform(
-        spans,
-        lambda c: F.struct(
-            c.alias("c"),
-            F.exists(
-                spans,
-                lambda b: b["base"]
-                & (b["kind"] == c["kind"])
-                & (b["start"] <= c["start"])
-                & (c["end"] <= b["end"]),
-            ).alias("hit"),
-        ),
-    )
-    found = with_candidates(docs.select(F.col(text_col).alias("text")), "text")
-    found = found.select(F.xxhash64("text").alias("h"), inside.alias("spans"))
-    found = found.select("h", F.explode("spans").alias("span")).select("h", "span.c.*", "span.hit")
-    fold = F.pmod(F.xxhash64("h", "start"), F.lit(FOLDS)).cast("int").alias("fold")
+
+    def marked_one(c: Column) -> Column:
+        sure = c["base"] | c["twin"]
+        covered = F.exists(spans, lambda b: b["base"] & overlap(b, c))
+        return F.struct(c.alias("c"), sure.alias("sure"), F.when(sure, False).otherwise(covered).alias("covered"))
+
+    marked = F.transform(spans, marked_one)
+    found = with_candidates(docs.select(F.col(text_col).alias("text")), "text", twins=True)
+    found = found.select(F.xxhash64("text").alias("h"), marked.alias("spans"))
+    found = found.select("h", F.explode("spans").alias("span")).filter("NOT span.covered")
+    # A text may come in many rows and counts once; its candidates are numbers.
+    found = found.select("h", "span.c.*", "span.sure").distinct()
+    dealt = F.pmod(F.xxhash64("h", "start"), F.lit(FOLDS))
+    fold = F.when(F.col("sure"), FOLDS - 1).otherwise(dealt).cast("int").alias("fold")
     cells = (
         found.groupBy(*FEATURES, fold)
-        .agg(F.count_if("hit").alias("hits"), F.count_if(~F.col("hit")).alias("misses"))
+        .agg(
+            F.count_if(~F.col("sure") & F.col("keyed")).alias("right"),
+            F.count_if(~F.col("sure") & ~F.col("keyed")).alias("wrong"),
+            F.count_if("sure").alias("known"),
+        )
         .collect()
     )
-    table = np.array([list(map(int, cell)) for cell in cells], dtype=np.int64).reshape(
-        len(cells), len(FEATURES) + 3
-    )
-    table = table[np.lexsort(table.T[::-1])]
     n = len(FEATURES)
-    return fit_cells(table[:, :n], table[:, n + 1] * 1.0, table[:, n + 2] * 1.0, table[:, n] == 0)
+    table = np.array([list(map(int, cell)) for cell in cells], dtype=np.int64).reshape(len(cells), n + 4)
+    table = table[np.lexsort(table.T[::-1])]
+    right, wrong, sure = table[:, n + 1 :].T * 1.0
+    return fit_cells(table[:, :n], right, wrong, table[:, n] == 0, sure)
 
 
 def find_spans(
