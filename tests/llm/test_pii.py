@@ -124,6 +124,16 @@ def test_loose_forms_are_judged_by_key_words_not_by_their_share(spark, strict, l
     assert learnt_emails(spark, strict, loose, "see") == []
 
 
+def test_few_candidates_can_reach_a_threshold():
+    """Ten right ones, two held out, beside wrong ones of another form: no minimum count stands in the way."""
+    codes = np.array([[pii.EMAIL, 1, 1, 4, 7, 0, 0]] * 2 + [[pii.EMAIL, 1, 9, 0, 0, 0, 0]] * 2)
+    right, wrong = np.array([2.0, 8, 0, 0]), np.array([0.0, 0, 10, 40])
+    held_out, sure = np.array([True, False] * 2), np.array([0.0, 1000, 0, 0])
+    model = pii.fit_cells(codes, right, wrong, held_out, sure)
+    chosen = 1 / (1 + np.exp(-model.margins(codes))) >= model.thresholds[pii.EMAIL]
+    assert chosen.tolist() == [True, True, False, False]
+
+
 def test_copies_of_a_text_count_once_and_other_kinds_are_left_out(spark, monkeypatch):
     seen = []
     fit_cells = pii.fit_cells
