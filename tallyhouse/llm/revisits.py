@@ -14,7 +14,8 @@ records is spread like any other. Payloads take no part until the resolved pairs
 Outcomes: resolved, no_response (none earlier, or no URL), mismatch (a validator differs or the
 response lacks it), no_validator (the revisit has neither). Only resolved ones have a response_id, payload
 and headers. Header names are compared in lower case. Records that are neither (other types or
-states), or have no time or record_id, are left out; repeated rows are resolved each. Columns other than those
+states), or have no time or record_id, are left out; repeated revisits are resolved each, repeated
+responses stand once. Columns other than those
 named are ignored. An empty table gives an empty result.
 """
 
@@ -163,9 +164,13 @@ def resolve(records: DataFrame) -> DataFrame:
     stored = records.filter("type = 'response' AND status = 200").select(
         F.col("record_id").alias("stored_id"),
         F.lit(True).alias("stands"),
-        F.col("payload"),
-        lower_names(known_headers()).alias("stored"),
+        F.struct("ts", header("headers", "etag").alias("etag"), header("headers", "last-modified")).alias("order"),
+        F.struct("payload", lower_names(known_headers()).alias("stored")).alias("body"),
     )
+    # A response may be stored in many rows: one of them, by the order of the search, stands. Grouped
+    # by the keys of the join, so that payloads are dealt once.
+    stored = stored.groupBy("stored_id", "stands").agg(F.max_by("body", "order").alias("body"))
+    stored = stored.select("stored_id", "stands", "body.*")
     # An unresolved revisit joins by its own id, which no response has under this flag, so that
     # those without a response are not all dealt to one task.
     headers = merged_headers(F.col("stored"), F.col("headers"))
