@@ -6,8 +6,8 @@ each; the matrix of log probabilities, BUCKETS numbers for each of at most MOST_
 languages, is broadcast. Scoring gathers the matrix rows of a text's n-grams and adds them up;
 very long texts are gathered piece by piece, and every character counts.
 
-The score is the posterior of the best language with the evidence of EVIDENCE n-grams at most,
-as overlapping n-grams repeat each other.
+The best language is that of all n-grams and the prior. Its score is its posterior with the evidence of
+EVIDENCE n-grams at most, as overlapping n-grams repeat each other.
 
 Defined results: a null text, or one without a letter, is `und` with score 0. A null id
 is not held out. Rows without a language are scored and never learnt from. Without any learnt
@@ -116,8 +116,8 @@ def classify(text: str | None, model: Model) -> tuple[str, float]:
     for found in buckets_of(text):
         total += model.matrix[found].sum(axis=0, dtype=np.float64)
         n += len(found)
+    best = int((total + model.prior).argmax())
     margin = total * (min(n, EVIDENCE) / n) + model.prior
-    best = int(margin.argmax())
     return model.languages[best], float(1 / np.exp(margin - margin[best]).sum())
 
 

@@ -55,6 +55,14 @@ def test_long_texts_count_every_character(monkeypatch):
     assert len(whole) == sum(len(text) - n + 1 for n in langid.ORDERS)
 
 
+def test_long_text_of_a_rare_language_outweighs_the_prior():
+    """Each n-gram tells little, all of them together much."""
+    matrix = np.tile(np.array([0.0, 0.05], np.float32), (langid.BUCKETS, 1))
+    model = langid.Model(["often", "rare"], matrix, np.log([100 / 101, 1 / 101]))
+    assert langid.classify("ab " * 1000, model)[0] == "rare"
+    assert langid.classify("ab", model)[0] == "often"
+
+
 def test_too_many_languages_are_an_error(spark):
     docs = spark.range(80).selectExpr("'a' AS text", "concat('l', id) AS lang")
     with pytest.raises(ValueError):
