@@ -9,7 +9,9 @@ ROW = ["_row_a", "_row_b"]
 
 
 def with_row(df: DataFrame) -> DataFrame:
-    """df with ROW, 128 bits of hash over all columns: equal rows, and only they, agree."""
-    return df.withColumns(
-        {name: F.xxhash64(F.lit(seed), *df.columns) for seed, name in enumerate(ROW)}
-    )
+    """df with ROW, 128 bits of hash over all columns: equal rows, and only they, agree.
+
+    Spark's hash skips nulls, so each column has a null flag beside it.
+    """
+    parts = [part for name in df.columns for part in (F.col(name).isNull(), F.col(name))]
+    return df.withColumns({name: F.xxhash64(F.lit(seed), *parts) for seed, name in enumerate(ROW)})

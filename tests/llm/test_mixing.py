@@ -4,10 +4,11 @@ from collections import Counter, defaultdict
 from math import log
 
 import pytest
-from samples import AWKWARD, awkward, clashing, empty
+from samples import AWKWARD, SCHEMA, awkward, clashing, empty
 
 from tallyhouse.llm import mixing
 from tallyhouse.llm.mixing import Mix, Target
+from tallyhouse.llm.rows import ROW, with_row
 
 SHARES = [0.5, 0.25, 0.15, 0.1]
 
@@ -95,3 +96,12 @@ def test_awkward_rows(spark):
         assert mixed.count() >= len(AWKWARD)
     assert mixing.mix_plan(empty(spark)).count() == 0
     assert mixing.mixed(empty(spark)).count() == 0
+
+
+def test_rows_that_differ_in_the_null_column_differ(spark):
+    rows = [(1, "x", None, "a", 1), (1, None, "x", "a", 1), (1, "x", "a", None, 1), (1, "x", None, "a", 1)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    found = with_row(docs).dropDuplicates(ROW)
+    assert sorted(map(str, found.select(docs.columns).collect())) == sorted(
+        map(str, docs.distinct().collect())
+    )
