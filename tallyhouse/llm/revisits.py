@@ -162,24 +162,22 @@ def resolve(records: DataFrame) -> DataFrame:
     """record_id, url_key, ts, outcome, response_id, payload and headers of every revisit."""
     found = resolutions(records)
     stored = records.filter("type = 'response' AND status = 200").select(
-        F.col("record_id").alias("stored_id"),
-        F.lit(True).alias("stands"),
+        F.struct(F.col("record_id").alias("id"), F.lit(True).alias("stands")).alias("stored_key"),
         F.struct("ts", header("headers", "etag").alias("etag"), header("headers", "last-modified")).alias("order"),
         F.struct("payload", lower_names(known_headers()).alias("stored")).alias("body"),
     )
     # A response may be stored in many rows: one of them, by the order of the search, stands. Grouped
-    # by the keys of the join, so that payloads are dealt once.
-    stored = stored.groupBy("stored_id", "stands").agg(F.max_by("body", "order").alias("body"))
-    stored = stored.select("stored_id", "stands", "body.*")
+    # by the one key of the join, so that payloads are dealt once.
+    stored = stored.groupBy("stored_key").agg(F.max_by("body", "order").alias("body"))
+    stored = stored.select("stored_key", "body.*")
     # An unresolved revisit joins by its own id, which no response has under this flag, so that
     # those without a response are not all dealt to one task.
     headers = merged_headers(F.col("stored"), F.col("headers"))
-    joined = found.join(
-        stored,
-        (F.coalesce(found["response_id"], found["record_id"]) == stored["stored_id"])
-        & (found["response_id"].isNotNull() == stored["stands"]),
-        "left",
+    key = F.struct(
+        F.coalesce(found["response_id"], found["record_id"]).alias("id"),
+        found["response_id"].isNotNull().alias("stands"),
     )
+    joined = found.join(stored, key == stored["stored_key"], "left")
     return joined.select(
         "record_id",
         "url_key",
