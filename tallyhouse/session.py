@@ -50,15 +50,15 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write df once and return the written table, for results that share it.
+def stage(df: DataFrame, label: str, *folders: str) -> DataFrame:
+    """Write df once, one folder per value of `folders`, and return the written table, for results that share it.
 
     Its lineage starts at the files, so a lost executor costs a re-read at most. The
     files stay, as results that read them may run at any later time; the caller may
     remove the table's `staged_at` once it has what it wants.
     """
     path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.partitionBy(*folders).parquet(path)
     table = df.sparkSession.read.schema(df.schema).parquet(path)
     table.staged_at = path
     return table
