@@ -127,3 +127,23 @@ SELECT record_id::BIGINT AS record_id, url_key, ts::BIGINT AS ts, outcome,
 FROM judged
 """
 )
+
+ORACLES["op13_line_runs"] = r"""
+WITH split AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), flat AS (
+  SELECT doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS pos FROM split
+), keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM flat
+), frequent AS (
+  SELECT key, max(doc_id) AS last FROM keyed WHERE length(key) >= 40
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+), judged AS (
+  SELECT keyed.*, coalesce(doc_id < last, false) AS gone FROM keyed LEFT JOIN frequent USING (key)
+)
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""

@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import gam, langid, mixing, packing, pii, revisits, rules, sharding, simhash, sketches
+from tallyhouse.llm import (
+    gam,
+    langid,
+    linedup,
+    mixing,
+    packing,
+    periodic,
+    pii,
+    revisits,
+    rules,
+    sharding,
+    simhash,
+    sketches,
+)
 
 # Captures of each page: a response, revisits under other spellings of its URL (before it, by weak
 # ETag, by date, with a wrong ETag, without any), and for a third a changed response in between.
@@ -180,3 +193,56 @@ def op7_revisits(spark, sf_dir):
         F.md5(F.col("payload").cast("binary")).alias("payload_md5"),
         F.array_join(headers, "; ").alias("headers"),
     )
+
+
+def made_periodic(docs: DataFrame) -> DataFrame:
+    """docs with the words of every tenth text, by hash of its id, made periodic from some word on."""
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    docs = docs.select("doc_id", "text", (h % 10 == 0).alias("chosen"), F.floor(h / 10).alias("g"))
+    chosen = docs.withColumn("words", F.when(F.col("chosen"), words)).withColumn("n", F.size("words"))
+    start = (F.col("g") % F.col("n")).cast("int")
+    period = (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int")
+    chosen = chosen.withColumn("a", F.when(F.col("n") > 0, start)).withColumn("p", F.when(F.col("n") > 0, period))
+    places = F.sequence(F.lit(0), F.col("n") - 1)
+    a, p = F.col("a"), F.col("p")
+    changed = F.transform(places, lambda i: F.get(F.col("words"), F.when(i < a, i).otherwise(a + (i - a) % p)))
+    text = F.when(F.col("chosen") & (F.col("n") > 0), F.array_join(changed, " ")).otherwise(F.col("text"))
+    return chosen.select("doc_id", text.alias("text"))
+
+
+@query
+def op12_suffix_runs(spark, sf_dir):
+    """Periodic runs of every text, some made periodic, and what is left without the repeats."""
+    docs = made_periodic(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic.find_runs(docs)
+    runs = F.col("runs")
+    # Greatest exact length / period; ties to the smallest start, then period.
+    best = F.reduce(
+        F.slice(runs, 2, F.greatest(F.size(runs) - 1, F.lit(0))),
+        F.get(runs, F.lit(0)),
+        lambda a, b: F.when(b["length"] * a["period"] > a["length"] * b["period"], b).otherwise(a),
+    )
+    lines = F.transform(runs, lambda r: F.concat_ws(",", *(r[name].cast("string") for name in ("start", "length", "period"))))
+    found = found.withColumn("best", best)
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda line: F.concat(line, F.lit("\n"))), "").cast("binary"), 256).alias(
+            "runs_sha256"
+        ),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op13_line_runs(spark, sf_dir):
+    """Every document without the lines that five documents share, but for the last that holds them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return linedup.dedup_lines(docs).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256")
+    )

@@ -15,3 +15,8 @@ def with_row(df: DataFrame) -> DataFrame:
     """
     parts = [part for name in df.columns for part in (F.col(name).isNull(), F.col(name))]
     return df.withColumns({name: F.xxhash64(F.lit(seed), *parts) for seed, name in enumerate(ROW)})
+
+
+def absent(df: DataFrame, label: str) -> str:
+    """A column name that df has not, in any case of its letters."""
+    return "_" * (1 + max((len(name) for name in df.columns), default=0)) + label
