@@ -15,6 +15,7 @@ from tallyhouse.llm import (
     packing,
     periodic,
     pii,
+    repair,
     revisits,
     rules,
     sharding,
@@ -246,3 +247,35 @@ def op13_line_runs(spark, sf_dir):
     return linedup.dedup_lines(docs).select(
         "doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256")
     )
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with a fifth of their rows harmed, by hash of conversation and turn."""
+    space = F.lit(" ")
+    part = [F.coalesce(F.col(name).cast("string"), space) for name in ("conv_id", "turn")]
+    harm = F.crc32(F.concat_ws(":", *part).cast("binary")) % 20
+    text, role = F.coalesce("text", space), F.coalesce("role", space)
+    text = F.when(harm == 1, "").when(harm == 2, F.translate(text, ".!?", "")).otherwise(text)
+    rows = rows.select(
+        "conv_id", "turn", F.when(harm == 4, "user").otherwise(role).alias("role"), text.alias("text"), harm.alias("harm")
+    ).filter("harm <> 0")
+    times = F.array_repeat(F.lit(0), F.when(F.col("harm") == 3, 2).otherwise(1))
+    return rows.withColumn("copy", F.explode(times)).drop("harm", "copy")
+
+
+@query
+def op11_glr_repair(spark, sf_dir):
+    """Faults and cheapest repair of every conversation, after damage."""
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    repaired = repair.repair(damaged(given))
+    faults = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    rows = given.select(F.col("conv_id").alias("conv")).distinct()
+    for found in (repaired.report, repair.digests(repaired.turns)):
+        rows = rows.unionByName(found, allowMissingColumns=True)
+    firsts = [F.first(name, ignorenulls=True).alias(name) for name in (*faults, "audit", "repaired_sha256")]
+    return rows.groupBy("conv").agg(*firsts).select(
+        F.col("conv").alias("conv_id"),
+        *(F.coalesce(name, F.lit(0)).cast("long").alias(name) for name in faults),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
