@@ -5,22 +5,23 @@ span that passes its check (address parts, Luhn sum, number of digits) is a base
 stays. Every other candidate is scored by boosted trees over its format (digits, separators,
 leading character, strict or loose) and the characters on either side. A candidate is added if its
 score reaches its kind's threshold, the lowest at which held-out candidates are right often enough,
-and if it overlaps no base span and no better added one.
+and if it overlaps no base span and no other such candidate that starts before it (or there, with a higher score).
 
 The trees learn from the candidates of all distinct texts. Those that could be added, the open ones, overlap no
 base span; they count as right if a key word of their kind stands before them, else as wrong, so
 neither key words nor the check are features. Base spans are right, as they are and rewritten in the loose forms of
 their kind ('+' or the country left out, '@' as [at], '.' as [dot]); for each kind and form, strict or loose, they weigh at
-most as much as the open candidates, so that their number outvotes no evidence about those. Open candidates
-alone are held out. With few of them a threshold leans on the trees' own score, which counts
-as `PRIOR` held-out candidates.
+most as much as the open candidates, so that their number outvotes no evidence about those. A fifth of all
+is held out. With few of them a threshold leans on the trees' own score, which counts
+as `PRIOR` held-out candidates; where none held out is right there is no threshold and nothing is added.
 
 Everything on the executors is SQL functions. The features are small codes, so the table of distinct
 candidates, from which the driver grows the trees, has at most `CELLS` rows whatever the
 number of documents; the trees go back as CASE expressions. Texts are never shuffled.
 
 Patterns have possessive loops only, so neither long runs nor many matches nest calls or backtrack
-far; they find what the plain forms in the comments find.
+far; they find what the plain forms in the comments find. Overlaps and offsets come from running totals over the
+spans in order of start, and a text is cut by blocks, so work grows with the text and its spans, not their product.
 
 Defined results: a null text has no spans. Ids play no part, so null or repeated ids and repeated
 rows are treated alike. Columns of the input stay; one named like the spans column is replaced. An
@@ -36,6 +37,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyhouse.llm.rows import absent
+
 KINDS = ("email", "ip", "card", "phone")
 EMAIL, IP, CARD, PHONE = range(4)
 
@@ -113,9 +116,16 @@ RATE = 0.3
 SMOOTH = 1.0
 #: Share of held-out candidates at or above a threshold that must be right.
 PRECISION = 0.98
-#: Held-out candidates that the score at a threshold counts as.
+#: Held-out candidates that the score at a threshold counts as, once one of them is right.
 PRIOR = 4.0
 
+#: Spans of a block whose offsets are added up on their own.
+BLOCK = 64
+#: Characters of a block of text that is cut on its own.
+CUT = 1024
+#: Behind the end of any text.
+FAR = 2**62
+
 
 def luhn(digits: Column) -> Column:
     def doubled(total: Column, place: Column) -> Column:
@@ -192,19 +202,60 @@ def described(
     )
 
 
+def let(value: Column, body) -> Column:
+    """body of a value that is evaluated once, however often body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def running(values: Column, merge) -> Column:
+    """Running merge over an array: of each value and all before it; merge(null, x) is x.
+
+    Blocks are merged on their own, then their totals, so that what grows by copying stays short.
+    No CASE stands around nested functions here: Spark would derive their type twice for each level.
+    """
+
+    def scan(array: Column) -> Column:
+        return F.aggregate(
+            array,
+            F.array().cast("array<long>"),
+            lambda done, value: F.concat(done, F.array(merge(F.get(done, F.size(done) - 1), value))),
+        )
+
+    def merged(inner: Column) -> Column:
+        totals = scan(F.transform(inner, lambda block: F.get(block, F.size(block) - 1)))
+        return let(
+            totals,
+            lambda totals: F.flatten(
+                F.transform(inner, lambda block, b: F.transform(block, lambda value: merge(F.get(totals, b - 1), value)))
+            ),
+        )
+
+    def blocks(values: Column) -> Column:
+        firsts = F.sequence(F.lit(0), F.floor((F.size(values) - 1) / BLOCK).cast("int"))
+        return let(F.transform(firsts, lambda b: scan(F.slice(values, b * BLOCK + 1, BLOCK))), merged)
+
+    return let(values, blocks)
+
+
+def added(a: Column, b: Column) -> Column:
+    return F.coalesce(a, F.lit(0)) + b
+
+
 def candidates_of(generator: Generator, parts: Column, found: Column) -> Column:
     """Spans of one generator, from the matches and the text between them."""
 
-    def append(seen: Column, match: Column) -> Column:
-        start = seen["at"] + F.length(match["before"])
-        span = described(generator.kind, start, match, match["found"], generator.loose)
-        return F.struct(
-            (start + F.length(match["found"])).alias("at"),
-            F.concat(seen["spans"], F.array(span)).alias("spans"),
-        )
+    def span(matches: Column, ends: Column) -> Column:
+        def one(match: Column, i: Column) -> Column:
+            start = F.get(ends, i) - F.length(match["found"])
+            return described(generator.kind, start, match, match["found"], generator.loose)
+
+        return F.transform(matches, one)
 
-    start = F.struct(F.lit(0).cast("long").alias("at"), nothing().alias("spans"))
-    return F.aggregate(cut(parts, found), start, append, lambda seen: seen["spans"])
+    def all_(matches: Column) -> Column:
+        lengths = F.transform(matches, lambda m: (F.length(m["before"]) + F.length(m["found"])).cast("long"))
+        return let(running(lengths, added), lambda ends: span(matches, ends))
+
+    return let(cut(parts, found), all_)
 
 
 def twins_of(generator: Generator, parts: Column, found: Column) -> Column:
@@ -229,34 +280,50 @@ def typed(fields: str) -> str:
     return ", ".join(": ".join(part.split(" ")) for part in fields.split(", "))
 
 
-def with_candidates(docs: DataFrame, text_col: str, twins: bool = False) -> DataFrame:
-    """docs with _candidates, the spans that any generator proposes, and twins of base spans if asked for."""
+def with_candidates(docs: DataFrame, text_col: str, spans: str, twins: str | None = None) -> DataFrame:
+    """docs with the spans that any generator proposes, by start, and if asked for the twins of base spans."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     empty = F.array().cast("array<string>")
+    columns = [*docs.columns, spans, *([twins] if twins else [])]
+    founds = [absent(docs, f"found{nth}") for nth in range(len(GENERATORS))]
+    parts = [absent(docs, f"parts{nth}") for nth in range(len(GENERATORS))]
     all_found = {}
-    for nth, generator in enumerate(GENERATORS):
+    for name, generator in zip(founds, GENERATORS):
         needs = F.expr(generator.needs.replace("text", f"coalesce(`{text_col}`, '')", 1))
         found = F.regexp_extract_all(text, F.lit(f"({generator.pattern})"), F.lit(1))
-        all_found[f"_found{nth}"] = F.when(needs, found).otherwise(empty)
+        all_found[name] = F.when(needs, found).otherwise(empty)
     docs = docs.withColumns(all_found)
-    parts = {
-        f"_parts{nth}": F.when(
-            F.size(f"_found{nth}") > 0, F.split(text, generator.pattern, -1)
-        ).otherwise(empty)
-        for nth, generator in enumerate(GENERATORS)
-    }
-    docs = docs.withColumns(parts)
-    spans = []
-    for nth, generator in enumerate(GENERATORS):
-        own = F.col(f"_parts{nth}"), F.col(f"_found{nth}")
-        spans.append(candidates_of(generator, *own))
-        if twins and not generator.loose and generator.kind in TWINS:
-            spans.append(twins_of(generator, *own))
-    return docs.withColumn("_candidates", F.concat(*spans)).drop(*all_found, *parts)
+    between = {}
+    for name, own, generator in zip(parts, founds, GENERATORS):
+        between[name] = F.when(F.size(own) > 0, F.split(text, generator.pattern, -1)).otherwise(empty)
+    docs = docs.withColumns(between)
+    sources = [(generator, F.col(part), F.col(own)) for generator, part, own in zip(GENERATORS, parts, founds)]
+    made = {spans: F.array_sort(F.concat(*(candidates_of(*source) for source in sources)))}
+    if twins:
+        made[twins] = F.concat(*(twins_of(*s) for s in sources if not s[0].loose and s[0].kind in TWINS))
+    return docs.withColumns(made).select(columns)
 
 
-def overlap(a: Column, b: Column) -> Column:
-    return (a["start"] < b["end"]) & (b["start"] < a["end"])
+def covered(spans: Column, then) -> Column:
+    """then(span, whether a base span covers part of it) of each span that is none itself, spans sorted by start.
+
+    A base span before it ends behind its start, or one after it starts before its end.
+    """
+    ends = F.transform(spans, lambda s: F.when(s["base"], s["end"]).otherwise(0))
+    starts = F.reverse(F.transform(spans, lambda s: F.when(s["base"], s["start"]).otherwise(FAR)))
+
+    def both(spans: Column, before: Column, after: Column) -> Column:
+        def one(span: Column, i: Column) -> Column:
+            left = F.coalesce(F.get(before, i - 1), F.lit(0)) > span["start"]
+            right = F.coalesce(F.get(after, F.size(spans) - 2 - i), F.lit(FAR)) < span["end"]
+            return then(span, ~span["base"] & (left | right))
+
+        return F.transform(spans, one)
+
+    return let(
+        running(ends, F.greatest),
+        lambda before: let(running(starts, F.least), lambda after: both(spans, before, after)),
+    )
 
 
 @dataclass
@@ -341,7 +408,7 @@ def fit_cells(
 ) -> Model:
     """Model from distinct candidates and how often each was right and wrong.
 
-    sure: how often each was a base span or a twin of one, never held out.
+    sure: how often each was a base span or a twin of one.
     """
     model = Model()
     train = ~held_out
@@ -366,10 +433,11 @@ def fit_cells(
         own = codes[:, 0] == kind
         order = np.argsort(-scores[own], kind="stable")
         s = scores[own][order]
-        good = np.cumsum((right * held_out)[own][order])
+        good = np.cumsum((learnt * held_out)[own][order])
         all_ = good + np.cumsum((wrong * held_out)[own][order])
         ends = np.append(s[1:] != s[:-1], True) if len(s) else np.zeros(0, bool)
-        enough = ends & (good + PRIOR * s >= PRECISION * (all_ + PRIOR))
+        # The trees' own score is no evidence: at least one held-out candidate has to be right.
+        enough = ends & (good > 0) & (good + PRIOR * s >= PRECISION * (all_ + PRIOR))
         if enough.any():
             model.thresholds[kind] = float(s[np.flatnonzero(enough)[-1]]) - 1e-9
     return model
@@ -377,21 +445,22 @@ def fit_cells(
 
 def fit(docs: DataFrame, text_col: str = "text") -> Model:
     """Trees and thresholds learnt on all candidates of all distinct texts."""
-    spans = F.col("_candidates")
-
-    def marked_one(c: Column) -> Column:
-        sure = c["base"] | c["twin"]
-        covered = F.exists(spans, lambda b: b["base"] & overlap(b, c))
-        return F.struct(c.alias("c"), sure.alias("sure"), F.when(sure, False).otherwise(covered).alias("covered"))
 
-    marked = F.transform(spans, marked_one)
-    found = with_candidates(docs.select(F.col(text_col).alias("text")), "text", twins=True)
-    found = found.select(F.xxhash64("text").alias("h"), marked.alias("spans"))
-    found = found.select("h", F.explode("spans").alias("span")).filter("NOT span.covered")
+    def marked(c: Column, hidden: Column) -> Column:
+        return F.struct(c.alias("c"), c["base"].alias("sure"), hidden.alias("covered"))
+
+    texts = docs.select(F.col(text_col).alias("text"))
+    found = with_candidates(texts, "text", "spans", "twins")
+    spans = let(F.col("spans"), lambda spans: covered(spans, marked))
+    twins = F.transform("twins", lambda c: F.struct(c.alias("c"), F.lit(True).alias("sure"), F.lit(False).alias("covered")))
+    found = found.select(F.xxhash64("text").alias("h"), F.concat(spans, twins).alias("spans"))
+    # With explode() Spark would also filter on the size of spans, below the columns that hold the matches, and so match
+    # the whole text again for every span.
+    found = found.select("h", F.explode_outer("spans").alias("span")).filter("NOT span.covered")
     # A text may come in many rows and counts once; its candidates are numbers.
     found = found.select("h", "span.c.*", "span.sure").distinct()
     dealt = F.pmod(F.xxhash64("h", "start"), F.lit(FOLDS))
-    fold = F.when(F.col("sure"), FOLDS - 1).otherwise(dealt).cast("int").alias("fold")
+    fold = dealt.cast("int").alias("fold")
     cells = (
         found.groupBy(*FEATURES, fold)
         .agg(
@@ -413,38 +482,44 @@ def find_spans(
 ) -> DataFrame:
     """docs with spans_col: array of (start, kind, end, base), sorted; code points, end exclusive."""
 
-    def scored(c: Column) -> Column:
+    def scored(c: Column, hidden: Column) -> Column:
         return F.struct(
             c["start"].alias("start"),
+            F.when(c["base"], 0.0).otherwise(-model.score(c)).alias("minus"),
             c["kind"].alias("kind"),
             c["end"].alias("end"),
             c["base"].alias("base"),
-            F.when(c["base"], F.lit(1.0)).otherwise(model.score(c)).alias("score"),
+            hidden.alias("hidden"),
         )
 
-    def better(a: Column, b: Column) -> Column:
-        same = (a["score"] == b["score"]) & (
-            (a["start"] < b["start"]) | ((a["start"] == b["start"]) & (a["kind"] < b["kind"]))
+    def first(open_: Column) -> Column:
+        """Those that start behind the end of all before them."""
+
+        def clear(ends: Column) -> Column:
+            own = F.transform(
+                open_, lambda c, i: F.struct(c.alias("c"), (F.coalesce(F.get(ends, i - 1), F.lit(0)) <= c["start"]).alias("clear"))
+            )
+            return F.transform(F.filter(own, lambda o: o["clear"]), lambda o: o["c"])
+
+        return let(running(F.transform(open_, lambda c: c["end"]), F.greatest), clear)
+
+    def chosen(all_: Column) -> Column:
+        base = F.filter(all_, lambda c: c["base"])
+        open_ = F.filter(all_, lambda c: ~c["base"] & ~c["hidden"] & (-c["minus"] >= model.threshold(c)))
+        spans = F.concat(base, let(F.array_sort(open_), first))
+        return F.transform(
+            spans,
+            lambda c: F.struct(
+                c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end"), c["base"].alias("base")
+            ),
         )
-        return a["base"] | (a["score"] > b["score"]) | same
 
-    docs = with_candidates(docs.drop(spans_col), text_col)
+    docs = docs.drop(spans_col)
+    candidates = absent(docs, "candidates")
+    found = with_candidates(docs, text_col, candidates)
     # Each candidate is scored once, and the trees stand in the plan once.
-    all_ = F.transform("_candidates", scored)
-    chosen = F.filter(all_, lambda c: c["base"] | (c["score"] >= model.threshold(c)))
-    docs = docs.withColumn("_chosen", chosen)
-    base = F.filter("_chosen", lambda c: c["base"])
-    added = F.filter(
-        F.filter("_chosen", lambda c: ~c["base"]),
-        lambda c: ~F.exists("_chosen", lambda o: overlap(o, c) & better(o, c)),
-    )
-    spans = F.transform(
-        F.concat(base, F.array_distinct(added)),
-        lambda c: F.struct(
-            c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end"), c["base"].alias("base")
-        ),
-    )
-    return docs.withColumn(spans_col, F.array_sort(spans)).drop("_candidates", "_chosen")
+    spans = let(F.col(candidates), lambda spans: let(covered(spans, scored), chosen))
+    return found.withColumn(spans_col, F.array_sort(spans)).drop(candidates)
 
 
 def written(spans: Column) -> Column:
@@ -462,25 +537,25 @@ def written(spans: Column) -> Column:
 def redact(docs: DataFrame, text_col: str = "text", spans_col: str = "spans") -> DataFrame:
     """docs with each span of its text replaced by its kind in brackets; overlapping ones count as the first."""
     names = F.array(*(F.lit(f"[{kind.upper()}]") for kind in KINDS))
-    text = F.col(text_col)
-
-    def cut(done: Column, span: Column) -> Column:
-        covered = span["start"] < done["at"]
-        until = F.substring(text, (done["at"] + 1).cast("int"), (span["start"] - done["at"]).cast("int"))
-        return F.struct(
-            F.greatest(done["at"], span["end"]).alias("at"),
-            F.when(covered, done["parts"])
-            .otherwise(F.concat(done["parts"], F.array(until, F.get(names, span["kind"]))))
-            .alias("parts"),
-        )
-
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("parts"))
-    rest = F.aggregate(
-        F.col(spans_col),
-        start,
-        cut,
-        lambda done: F.array_join(
-            F.concat(done["parts"], F.array(F.substring(text, (done["at"] + 1).cast("int"), F.length(text)))), ""
-        ),
-    )
-    return docs.withColumn(text_col, F.when(F.size(spans_col) > 0, rest).otherwise(text))
+    text, spans = F.col(text_col), F.col(spans_col)
+
+    def piece(blocks: Column, start: Column, end: Column) -> Column:
+        """Characters from start to end; only the blocks that hold them are read."""
+        first = F.floor(start / CUT).cast("int")
+        own = F.slice(blocks, first + 1, F.floor((end - 1) / CUT).cast("int") - first + 1)
+        cut = F.substring(F.array_join(own, ""), (start % CUT + 1).cast("int"), (end - start).cast("int"))
+        return F.when(end > start, cut).otherwise("")
+
+    def replaced(blocks: Column, ends: Column) -> Column:
+        def one(span: Column, i: Column) -> Column:
+            at = F.coalesce(F.get(ends, i - 1), F.lit(0).cast("long"))
+            line = F.concat(piece(blocks, at, span["start"]), F.get(names, span["kind"]))
+            return F.when(span["start"] >= at, line).otherwise("")
+
+        rest = piece(blocks, F.get(ends, F.size(ends) - 1), F.length(text).cast("long"))
+        return F.concat(F.array_join(F.transform(spans, one), ""), rest)
+
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CUT}}}"), F.lit(0))
+    ends = running(F.transform(spans, lambda s: s["end"]), F.greatest)
+    changed = let(blocks, lambda blocks: let(ends, lambda ends: replaced(blocks, ends)))
+    return docs.withColumn(text_col, F.when(F.size(spans_col) > 0, changed).otherwise(text))

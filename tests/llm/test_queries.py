@@ -11,7 +11,7 @@ import pytest
 from oracle_check import connect, differences
 from samples import SF_DIR, awkward, clashing, empty
 from test_packing import check, plain_ids
-from test_pii import plain_spans
+from test_pii import redacted
 from test_rules import plain
 from test_simhash import brute_roots
 from test_simhash import plain as plain_print
@@ -41,16 +41,6 @@ def keeps(text):
     )
 
 
-def redacted(text):
-    spans = plain_spans(text)
-    out, at = [], 0
-    for start, kind, end in spans:
-        if start >= at:
-            out += [text[at:start], f"[{('EMAIL', 'IP', 'CARD', 'PHONE')[kind]}]"]
-        at = max(at, end)
-    return "".join(out) + text[at:]
-
-
 def test_stages_against_plain_forms(spark, tmp_path):
     small = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     docs, columns = small, small.columns
