@@ -219,6 +219,10 @@ WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F'
 SELECT house_id, latitude, longitude, maintenance_year, square,
        CAST(population AS BIGINT) AS population, region, locality_name, address, full_address,
        CAST(communal_service_id AS BIGINT) AS communal_service_id, description
+FROM loaded""",
+    "versioned_load": f"""WITH {CLEANED}, {LOADED}
+SELECT house_id, latitude, longitude, maintenance_year, square, population, region, locality_name,
+       address, full_address, communal_service_id, description
 FROM loaded""",
     "warehouse_top_by_size": f"""WITH {CLEANED}, {LOADED}
 {TOP_BUILDINGS.format(population='CAST(population AS BIGINT)').replace("cleaned", "loaded")}""",
@@ -232,6 +236,10 @@ WHERE nullif(event_type, 'signup') IS NULL""",
 SELECT text, lang, count(*) AS n FROM documents GROUP BY text, lang HAVING count(*) > 1""",
     "quantity_mean_median": """
 SELECT round(avg(l_quantity), 2) AS mean_l_quantity, round(median(l_quantity), 2) AS median_l_quantity
+FROM lineitem""",
+    "price_mean_median": """
+SELECT round(avg(l_extendedprice), 2) AS mean_l_extendedprice,
+       round(median(l_extendedprice), 2) AS median_l_extendedprice
 FROM lineitem""",
     "order_dates_by_customer": f"""WITH dated AS (
   SELECT o_custkey AS region, o_orderdate AS day, 'Order ' || o_orderkey AS address FROM orders),

@@ -30,12 +30,14 @@ from tallyhouse.operators.quality import (
     empty_rows,
     repeated_row_records,
 )
+from tallyhouse.operators.ranks import mean_and_median_by_rank
 from tallyhouse.operators.totals import mean_and_median
 from tallyhouse.plans import accesslog, buildings, staff, strings, weblogs
 from tallyhouse.plans import purchases as shop
 from tallyhouse.session import fresh_path
 from tallyhouse.sinks.files import write_parquet
 from tallyhouse.sinks.tables import create_houses_table, load_new_rows
+from tallyhouse.sinks.versions import load_version, read_version
 from tallyhouse.sources.files import first_rows, read_access_log, read_csv, read_utf16_csv
 from tallyhouse.sources.schemas import WEB_LOGS
 from tallyhouse.sources.tables import read_view, read_warehouse
@@ -270,6 +272,12 @@ def quantity_mean_median(spark, sf_dir):
     return mean_and_median(table(spark, sf_dir, "lineitem"), "l_quantity", 2)
 
 
+@query
+def price_mean_median(spark, sf_dir):
+    """A measure of very many distinct values."""
+    return mean_and_median_by_rank(table(spark, sf_dir, "lineitem"), "l_extendedprice", 2)
+
+
 @query
 def extreme_rows_by_group_(spark, sf_dir):
     return extreme_rows_by_group(
@@ -340,6 +348,19 @@ def incremental_load(spark, sf_dir):
     return _load_twice(spark, sf_dir)
 
 
+@query
+def versioned_load(spark, sf_dir):
+    """A versioned table after the finished orders, all orders, and both batches again."""
+    root = fresh_path(spark, "houses-versions")
+    register = _cleaned(spark, sf_dir)
+    finished = F.col("description").endswith("F")
+    repeats = register.filter((F.col("house_id") % 89 == 0) & ~finished)
+    batches = {"finished": register.filter(finished), "all": register.unionByName(repeats)}
+    for batch, rows in [*batches.items(), *batches.items()]:
+        load_version(rows, root, batch, "house_id")
+    return read_version(spark, root, register.schema)
+
+
 @query
 def warehouse_top_by_size(spark, sf_dir):
     return buildings.top_buildings(_load_twice(spark, sf_dir))

@@ -18,6 +18,7 @@ from tallyhouse.operators.quality import (
     quality_report,
     repeated_row_records,
 )
+from tallyhouse.operators.ranks import mean_and_median_by_rank
 from tallyhouse.operators.totals import describe_totals, extreme_total, mean_and_median, totals_by
 
 __all__ = [
@@ -35,6 +36,7 @@ __all__ = [
     "extremes_by_group",
     "items_by_group",
     "mean_and_median",
+    "mean_and_median_by_rank",
     "new_rows",
     "quality_report",
     "repeated_row_records",

@@ -31,7 +31,7 @@ def mean_and_median(df: DataFrame, column: str, digits: int = 0) -> DataFrame:
 
     Rows are first counted per value, map-side; the median is then taken over the
     distinct values, which must fit one task. For a measure with very many distinct
-    values use `approx_percentile`.
+    values use `mean_and_median_by_rank`.
     """
     value, n = F.col(column), F.col("n")
     counts = count_by(df.filter(value.isNotNull()), column, "n")
