@@ -264,6 +264,7 @@ UNION ALL SELECT 'max_daily_bytes', '', CAST(high AS DOUBLE) FROM spread
 UNION ALL SELECT 'mean_daily_bytes', '', mean FROM spread
 UNION ALL SELECT 'stddev_daily_bytes', '', deviation FROM spread""",
     "register_from_csv": f"WITH {CLEANED}, {_widest('realistic')}",
+    "register_from_split_csv": f"WITH {CLEANED}, {_widest('realistic')}",
     "total_revenue": f"""WITH {PURCHASES}
 SELECT CAST(coalesce(sum(price * quantity), 0) AS DOUBLE) AS revenue FROM purchases""",
     "items_by_category": "SELECT DISTINCT p_type AS category, p_name AS item FROM part",

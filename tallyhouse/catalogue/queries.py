@@ -39,6 +39,7 @@ from tallyhouse.sinks.files import write_parquet
 from tallyhouse.sinks.tables import create_houses_table, load_new_rows
 from tallyhouse.sinks.versions import load_version, read_version
 from tallyhouse.sources.files import first_rows, read_access_log, read_csv, read_utf16_csv
+from tallyhouse.sources.records import read_split_csv
 from tallyhouse.sources.schemas import WEB_LOGS
 from tallyhouse.sources.tables import read_view, read_warehouse
 
@@ -377,6 +378,19 @@ def register_from_csv(spark, sf_dir):
     return buildings.widest_regions(buildings.realistic_years(cleaned, CURRENT_YEAR))
 
 
+@query
+def register_from_split_csv(spark, sf_dir):
+    """As before, with line ends inside quoted fields and each file read by as many tasks as it has splits."""
+    path = fresh_path(spark, "register-split-csv")
+    rows = building_register(spark, sf_dir)
+    noted = rows.withColumn("description", F.concat("description", F.lit('\n"first", and\nsecond line')))
+    csv = noted.write.option("header", True).option("encoding", "UTF-16LE").option("escape", '"')
+    csv.csv(path)
+    landed = read_split_csv(spark, path, rows.schema, escape='"')
+    cleaned = buildings.clean_register(landed)
+    return buildings.widest_regions(buildings.realistic_years(cleaned, CURRENT_YEAR))
+
+
 # Purchases
 
 

@@ -6,6 +6,7 @@ from tallyhouse.sources.files import (
     read_utf16_csv,
 )
 from tallyhouse.sources.jdbc import read_jdbc
+from tallyhouse.sources.records import read_split_csv
 from tallyhouse.sources.tables import read_view, read_warehouse, register_view
 
 __all__ = [
@@ -14,6 +15,7 @@ __all__ = [
     "read_csv",
     "read_jdbc",
     "read_parquet",
+    "read_split_csv",
     "read_utf16_csv",
     "read_view",
     "read_warehouse",
