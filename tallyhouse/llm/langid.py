@@ -1,10 +1,11 @@
 """Language by multinomial naive Bayes over hashed character n-grams.
 
 A text's features are its lower-cased n-grams of one to four characters, hashed into BUCKETS.
-Learning counts them per language on a sample of at most about `rows_per_language` texts of
-each; the matrix of log probabilities, BUCKETS numbers for each of at most MOST_LANGUAGES
-languages, is broadcast. Scoring gathers the matrix rows of a text's n-grams and adds them up;
-very long texts are gathered piece by piece, and every character counts.
+Learning counts them per language on a sample of at most about `rows_per_language` rows of
+each, drawn by id and text so that copies of a text are thinned like other rows, and for LANGUAGES_AT_ONCE languages at a time. The
+matrix of log probabilities, BUCKETS numbers for each language that occurs, is broadcast: 256 KB a language. Scoring counts the buckets of the texts of a
+batch as one sparse matrix and multiplies it with that matrix; very long texts are counted piece by piece, and every
+character counts.
 
 The best language is that of all n-grams and the prior. Its score is its posterior with the evidence of
 EVIDENCE n-grams at most, as overlapping n-grams repeat each other.
@@ -27,7 +28,10 @@ from pyspark.sql import functions as F
 BUCKETS = 1 << 16
 ORDERS = (1, 2, 3, 4)
 ROWS_PER_LANGUAGE = 5_000
-MOST_LANGUAGES = 64
+#: Languages whose counts reach the driver in one go.
+LANGUAGES_AT_ONCE = 64
+#: Numbers that one product of a batch may gather.
+GATHERED = 1 << 22
 SMOOTHING = 0.5
 EVIDENCE = 60
 PIECE = 1 << 18
@@ -71,21 +75,33 @@ def fit(
     text_col: str = "text",
     lang_col: str = "lang",
     rows_per_language: int = ROWS_PER_LANGUAGE,
+    id_col: str = "doc_id",
 ) -> Model:
-    """Model learnt from the rows of docs that have a text and a language."""
-    known = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).dropna()
-    sizes = dict(map(tuple, known.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()))
-    if len(sizes) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    languages = sorted(sizes)
+    """Model learnt from the rows of docs that have a text and a language, of any number of languages."""
+    named = {id_col: "id", text_col: "text", lang_col: "lang"}
+    known = docs.select(*(F.col(name).alias(to) for name, to in named.items())).dropna(subset=["text", "lang"])
+    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("size"))
+    collected = dict(map(tuple, sizes.collect()))
+    languages = sorted(collected)
     if not languages:
         return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0, np.float32))
-    share = F.lit(1.0)
-    for language in languages:
-        part = min(1.0, rows_per_language / sizes[language])
-        share = F.when(F.col("lang") == language, F.lit(part)).otherwise(share)
-    uniform = F.pmod(F.xxhash64("text"), F.lit(1 << 53)) / F.lit(float(1 << 53))
-    sample = known.filter(uniform < share)
+    parts = []
+    for first in range(0, len(languages), LANGUAGES_AT_ONCE):
+        block = languages[first : first + LANGUAGES_AT_ONCE]
+        share = F.lit(1.0)
+        for language in block:
+            part = min(1.0, rows_per_language / collected[language])
+            share = F.when(F.col("lang") == language, F.lit(part)).otherwise(share)
+        uniform = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 53)) / F.lit(float(1 << 53))
+        parts.append(counted(known.filter(F.col("lang").isin(block) & (uniform < share)), block))
+    table = np.concatenate(parts, axis=1) + SMOOTHING
+    matrix = np.log(table / table.sum(axis=0)).astype(np.float32)
+    weights = np.array([collected[language] for language in languages], dtype=float)
+    return Model(languages, matrix, np.log(weights / weights.sum()))
+
+
+def counted(sample: DataFrame, languages: list[str]) -> np.ndarray:
+    """How often the texts of each language have each bucket; BUCKETS rows of one number per language."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         totals: dict[str, np.ndarray] = {}
@@ -98,27 +114,55 @@ def fit(
             used = np.flatnonzero(own)
             yield pd.DataFrame({"lang": lang, "bucket": used, "n": own[used]})
 
-    counts = sample.mapInPandas(count, "lang string, bucket long, n long")
-    # At most MOST_LANGUAGES * BUCKETS rows.
+    counts = sample.select("text", "lang").mapInPandas(count, "lang string, bucket long, n long")
+    # At most LANGUAGES_AT_ONCE * BUCKETS rows.
     found = counts.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
-    table = np.full((BUCKETS, len(languages)), SMOOTHING)
+    table = np.zeros((BUCKETS, len(languages)))
     place = {language: i for i, language in enumerate(languages)}
-    table[found["bucket"].to_numpy(int), found["lang"].map(place).to_numpy(int)] += found["n"].to_numpy(float)
-    matrix = np.log(table / table.sum(axis=0)).astype(np.float32)
-    weights = np.array([sizes[language] for language in languages], dtype=float)
-    return Model(languages, matrix, np.log(weights / weights.sum()))
+    table[found["bucket"].to_numpy(int), found["lang"].map(place).to_numpy(int)] = found["n"].to_numpy(float)
+    return table
+
+
+def classify_all(texts: list[str | None], model: Model) -> list[tuple[str, float]]:
+    """Language and score of each text of a batch."""
+    out = [(UNKNOWN, 0.0)] * len(texts)
+    if not model.languages:
+        return out
+    held, buckets, counts, lengths = [], [], [], []
+
+    def multiply() -> None:
+        n = np.concatenate(counts).astype(np.float64)
+        starts = np.cumsum([0, *map(len, counts)])[:-1]
+        totals = np.add.reduceat(n[:, None] * model.matrix[np.concatenate(buckets)], starts, axis=0)
+        # The evidence of a long text is tempered for its score alone.
+        tempered = totals * (np.minimum(lengths, EVIDENCE) / lengths)[:, None] + model.prior
+        best = (totals + model.prior).argmax(axis=1)
+        for i, row, own in zip(held, best, tempered):
+            out[i] = model.languages[row], float(1 / np.exp(own - own[row]).sum())
+        for part in (held, buckets, counts, lengths):
+            part.clear()
+
+    gathered = 0
+    for i, text in enumerate(texts):
+        if not text or not any(map(str.isalpha, text)):
+            continue
+        own = sum(np.bincount(found, minlength=BUCKETS) for found in buckets_of(text))
+        used = np.flatnonzero(own)
+        held.append(i)
+        buckets.append(used)
+        counts.append(own[used])
+        lengths.append(own.sum())
+        gathered += len(used) * len(model.languages)
+        if gathered >= GATHERED:
+            multiply()
+            gathered = 0
+    if held:
+        multiply()
+    return out
 
 
 def classify(text: str | None, model: Model) -> tuple[str, float]:
-    if not text or not model.languages or not any(map(str.isalpha, text)):
-        return UNKNOWN, 0.0
-    total, n = np.zeros(len(model.languages)), 0
-    for found in buckets_of(text):
-        total += model.matrix[found].sum(axis=0, dtype=np.float64)
-        n += len(found)
-    best = int((total + model.prior).argmax())
-    margin = total * (min(n, EVIDENCE) / n) + model.prior
-    return model.languages[best], float(1 / np.exp(margin - margin[best]).sum())
+    return classify_all([text], model)[0]
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -129,7 +173,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     @F.pandas_udf("lang_pred string, score double")
     def label(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            found = [classify(text, shared.value) for text in texts]
+            found = classify_all(texts.tolist(), shared.value)
             yield pd.DataFrame(found, columns=["lang_pred", "score"])
 
     rows = docs.select(F.col(id_col).alias("doc_id"), label(F.col(text_col)).alias("found"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 import zlib
+from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
@@ -63,10 +65,53 @@ def test_long_text_of_a_rare_language_outweighs_the_prior():
     assert langid.classify("ab", model)[0] == "often"
 
 
-def test_too_many_languages_are_an_error(spark):
-    docs = spark.range(80).selectExpr("'a' AS text", "concat('l', id) AS lang")
-    with pytest.raises(ValueError):
-        langid.fit(docs)
+def test_eighty_languages_are_learnt_in_blocks_and_predicted(spark):
+    letters = [chr(0x4E00 + 3 * i) + chr(0x4E00 + 3 * i + 1) for i in range(80)]
+    rows = [(n, f"{pair} {pair * 3}", f"l{i:02d}") for i, pair in enumerate(letters) for n in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs)
+    assert len(model.languages) == 80 > langid.LANGUAGES_AT_ONCE
+    found = langid.predict(docs, model).collect()
+    assert [r.lang_pred for r in found] == [lang for *_, lang in rows]
+
+
+def test_against_plain_counting(spark, monkeypatch):
+    """Counts, log probabilities, verdict and score from dictionaries, text by text."""
+    monkeypatch.setattr(langid, "GATHERED", 20_000)
+    rows = [r for r in given().itertuples() if r.lang is not None and r.text][:120]
+    learn, judge = rows[:80], [*(r.text for r in rows[60:]), None, "", "12 34", "é", "x" * 5000]
+    docs = spark.createDataFrame([(r.doc_id, r.text, r.lang) for r in learn], "doc_id long, text string, lang string")
+    model = langid.fit(docs)
+    grams = lambda text: Counter(b for part in langid.buckets_of(text) for b in part.tolist())
+    counts = defaultdict(Counter)
+    for r in learn:
+        counts[r.lang].update(grams(r.text))
+    assert model.languages == sorted(counts)
+    found = langid.classify_all(judge, model)
+    for text, (lang, score) in zip(judge, found):
+        if not text or not any(c.isalpha() for c in text):
+            assert (lang, score) == ("und", 0.0)
+            continue
+        own, totals, priors = grams(text), {}, {}
+        for name, seen in counts.items():
+            whole = sum(seen.values()) + langid.SMOOTHING * langid.BUCKETS
+            totals[name] = sum(n * math.log((seen[b] + langid.SMOOTHING) / whole) for b, n in own.items())
+            priors[name] = math.log(sum(r.lang == name for r in learn) / len(learn))
+        best = max(totals, key=lambda name: totals[name] + priors[name])
+        n = sum(own.values())
+        margin = {name: totals[name] * min(n, langid.EVIDENCE) / n + priors[name] for name in totals}
+        assert lang == best
+        assert score == pytest.approx(1 / sum(math.exp(m - margin[best]) for m in margin.values()), abs=1e-4)
+
+
+def test_copies_of_a_text_are_thinned_like_other_rows(spark):
+    """A third of a language is one text: about a third of the sample is."""
+    rows = [(i, "abc" if i % 3 == 0 else f"word{i}", "en") for i in range(3000)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), rows_per_language=300)
+    whole = np.exp(model.matrix[:, 0].astype(float))
+    (bucket,) = [b for part in langid.buckets_of("abc") for b in part.tolist()][-1:]
+    # One trigram a copy among some 8 n-grams a row: a few per cent, neither none nor most.
+    assert 0.001 < whole[bucket] < 0.1
 
 
 def test_quality_of_awkward_rows(spark):
