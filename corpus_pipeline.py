@@ -25,7 +25,8 @@ def near_dedup(spark, docs, sf_dir):
 
 def personal_data(spark, docs, sf_dir):
     """Spans of personal data replaced by their kind; n_chars follows the new text."""
-    found = pii.find_spans(docs, pii.fit(docs), spans_col="_spans")
+    # Written before the texts are cut, so that no span is looked for twice.
+    found = stage(pii.find_spans(docs, pii.fit(docs), spans_col="_spans"), "spans")
     redacted = pii.redact(found, spans_col="_spans")
     return redacted.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
