@@ -132,6 +132,10 @@ ORACLES: dict[str, str] = {
     "top_clients": f"""WITH {WEB_LOGS}
 SELECT ip, count(*) AS request_count FROM web_logs
 GROUP BY ip ORDER BY request_count DESC, ip LIMIT 10""",
+    "top_parts_by_cells": """
+SELECT l_partkey, count(*) AS n_lines FROM lineitem GROUP BY l_partkey ORDER BY n_lines DESC, l_partkey LIMIT 20""",
+    "top_users_by_cells": """
+SELECT user_id, count(*) AS n_events FROM events GROUP BY user_id ORDER BY n_events DESC, user_id LIMIT 10""",
     "count_by_method": f"""WITH {WEB_LOGS}
 SELECT method, count(*) AS method_count FROM web_logs GROUP BY method""",
     "error_count": "SELECT count(*) AS error_count FROM events WHERE event_type = 'error'",
@@ -224,6 +228,7 @@ FROM loaded""",
 SELECT house_id, latitude, longitude, maintenance_year, square, population, region, locality_name,
        address, full_address, communal_service_id, description
 FROM loaded""",
+    "load_by_key_index": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders",
     "warehouse_top_by_size": f"""WITH {CLEANED}, {LOADED}
 {TOP_BUILDINGS.format(population='CAST(population AS BIGINT)').replace("cleaned", "loaded")}""",
     "access_log_no_post": f"""WITH {REQUESTS}

@@ -31,6 +31,7 @@ from tallyhouse.operators.quality import (
     repeated_row_records,
 )
 from tallyhouse.operators.ranks import mean_and_median_by_rank
+from tallyhouse.operators.sketched import top_counts_by_cells
 from tallyhouse.operators.totals import mean_and_median
 from tallyhouse.plans import accesslog, buildings, staff, strings, weblogs
 from tallyhouse.plans import purchases as shop
@@ -68,6 +69,17 @@ def top_clients(spark, sf_dir):
     return weblogs.top_clients(web_logs(spark, sf_dir))
 
 
+@query
+def top_parts_by_cells(spark, sf_dir):
+    """Parts of the most order lines: very many values of much the same count."""
+    return top_counts_by_cells(table(spark, sf_dir, "lineitem"), "l_partkey", 20, "n_lines")
+
+
+@query
+def top_users_by_cells(spark, sf_dir):
+    return top_counts_by_cells(table(spark, sf_dir, "events"), "user_id", 10, "n_events")
+
+
 @query
 def count_by_method(spark, sf_dir):
     return weblogs.method_counts(web_logs(spark, sf_dir))
@@ -362,6 +374,16 @@ def versioned_load(spark, sf_dir):
     return read_version(spark, root, register.schema)
 
 
+@query
+def load_by_key_index(spark, sf_dir):
+    """All orders after two loads of which the second opens only files that may hold one of its keys."""
+    root = fresh_path(spark, "orders-versions")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    load_version(orders.filter(F.col("o_totalprice") < MIN_PRICE), root, "small", "o_orderkey")
+    load_version(orders, root, "all", "o_orderkey")
+    return read_version(spark, root, orders.schema)
+
+
 @query
 def warehouse_top_by_size(spark, sf_dir):
     return buildings.top_buildings(_load_twice(spark, sf_dir))

@@ -19,6 +19,8 @@ from tallyhouse.operators.quality import (
     repeated_row_records,
 )
 from tallyhouse.operators.ranks import mean_and_median_by_rank
+from tallyhouse.operators.sketched import top_counts_by_cells
+from tallyhouse.operators.skipping import files_that_may_hold, write_key_index
 from tallyhouse.operators.totals import describe_totals, extreme_total, mean_and_median, totals_by
 
 __all__ = [
@@ -34,6 +36,7 @@ __all__ = [
     "extreme_rows_by_group",
     "extreme_total",
     "extremes_by_group",
+    "files_that_may_hold",
     "items_by_group",
     "mean_and_median",
     "mean_and_median_by_rank",
@@ -42,7 +45,9 @@ __all__ = [
     "repeated_row_records",
     "row_count",
     "top_counts",
+    "top_counts_by_cells",
     "top_rows",
     "totals_by",
     "widest_spread",
+    "write_key_index",
 ]

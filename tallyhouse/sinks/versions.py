@@ -6,8 +6,12 @@ two loads that started from the same version one creates it, and the other looks
 stored by then. Versions follow each other without a gap. Until the version exists nothing of the load can be seen, so a load that dies
 leaves only files that no version names. A batch is in a version once, so repeating it adds nothing.
 
-Layout of a root: `data/<batch>-<random>` (Parquet) and `versions/<number>`. The file system has to
-refuse creating a file that exists, as HDFS, local disks and object stores with conditional writes do.
+Beside each file set lies an index of its files (`operators.skipping`): the next load opens only files that may
+hold one of its keys. File sets without an index for that column and type, such as those of a load by another key, are all opened.
+
+Layout of a root: `data/<batch>-<random>` (Parquet), `keys/<column and type>/<batch>-<random>` (index, Parquet) and
+`versions/<number>`. The file system has to refuse creating a file that exists, as HDFS, local disks and
+object stores with conditional writes do.
 """
 
 from __future__ import annotations
@@ -20,9 +24,17 @@ from urllib.parse import quote, unquote
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
-
-from tallyhouse.operators.keys import new_rows
+from pyspark.sql.types import StructField, StructType
+
+from tallyhouse.operators.keys import known_keys
+from tallyhouse.operators.skipping import (
+    compared_type,
+    files_that_may_hold,
+    index_schema,
+    indexable,
+    write_key_index,
+)
+from tallyhouse.session import remove, stage
 
 #: Last line of a version file; without it the file is still being written, or its writer died.
 END = "end"
@@ -107,6 +119,30 @@ def read_version(spark: SparkSession, root: str, schema: StructType, version: Ve
     return spark.read.schema(schema).parquet(*(f"{root}/data/{files}" for _, files in version.batches))
 
 
+def _index_folder(root: str, field: StructField) -> str:
+    """Folder of the indexes for a column of a name and type, spelt in hex, as any name is allowed."""
+    name = f"{field.name}:{compared_type(field.dataType).simpleString()}"
+    return f"{root}/keys/{name.encode().hex()}"
+
+
+def files_to_open(keys: DataFrame, root: str, version: Version) -> list[str]:
+    """Paths of a version that may hold one of the keys (a table of one column).
+
+    Single files where an index tells, whole file sets where none is there. An index is written before the
+    version that names its file set, so one that is found is whole.
+    """
+    spark, field = keys.sparkSession, keys.schema[0]
+    fs, folder = _file_system(spark, _index_folder(root, field))
+    there = {entry.getPath().getName() for entry in fs.listStatus(folder)} if fs.exists(folder) else set()
+    names = [files for _, files in version.batches]
+    paths = [f"{root}/data/{files}" for files in names if files not in there]
+    indexes = [f"{_index_folder(root, field)}/{files}" for files in names if files in there]
+    if indexes:
+        index = spark.read.schema(index_schema(field.dataType)).parquet(*indexes)
+        paths += [f"{root}/data/{file}" for file in files_that_may_hold(index, keys)]
+    return paths
+
+
 def load_version(df: DataFrame, root: str, batch: str, key: str) -> int:
     """Add the rows of df whose key the table does not hold yet as one batch; return how many went in.
 
@@ -121,11 +157,26 @@ def load_version(df: DataFrame, root: str, batch: str, key: str) -> int:
         files = f"{quote(batch, safe='')}-{uuid.uuid4().hex}".replace("%", "_")
         loaded = Observation()
         rows = df.filter(F.col(key).isNotNull())
+        staged = []
         if seen.batches:
-            rows = new_rows(df, read_version(spark, root, df.schema, seen), key)
+            keys = stage(rows.select(key).distinct(), "batch-keys")
+            staged.append(keys.staged_at)
+            paths = files_to_open(keys, root, seen)
+            if paths:
+                known = stage(known_keys(keys, spark.read.schema(df.schema).parquet(*paths), key), "known-keys")
+                staged.append(known.staged_at)
+                rows = rows.join(known, key, "left_anti")
         rows.observe(loaded, F.count(F.lit(1)).alias("n")).write.parquet(f"{root}/data/{files}")
+        for path in staged:
+            remove(spark, path)
+        field = rows.select(key).schema[0]
+        index = f"{_index_folder(root, field)}/{files}"
+        if indexable(field.dataType):
+            written = spark.read.schema(df.schema).parquet(f"{root}/data/{files}")
+            write_key_index(written, key, index, f"{files}/")
         if commit(spark, root, seen.number + 1, (*seen.batches, (batch, files))):
             return loaded.get["n"]
-        fs, target = _file_system(spark, f"{root}/data/{files}")
-        fs.delete(target, True)
+        for lost in (index, f"{root}/data/{files}"):
+            fs, target = _file_system(spark, lost)
+            fs.delete(target, True)
     raise RuntimeError(f"batch {batch} lost against other loads {ATTEMPTS} times")
