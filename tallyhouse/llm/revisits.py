@@ -9,7 +9,8 @@ own that a 304 may change (`PERMITTED`).
 The order (hash of URL, time) is cut into ranges by sampled splitters, and every range finds its own
 latest responses with a running maximum. A URL cut by a splitter hands its latest response
 on from range to range in a table of at most two rows per range, so a URL with a third of all
-records is spread like any other. Payloads take no part until the resolved pairs are known.
+records is spread like any other. Payloads take no part until the resolved pairs are known. A
+response that many revisits stand for is copied for every `SHARE_ROWS` of them, so they meet it in many tasks.
 
 Outcomes: resolved, no_response (none earlier, or no URL), mismatch (a validator differs or the
 response lacks it), no_validator (the revisit has neither). Only resolved ones have a response_id, payload
@@ -30,6 +31,8 @@ from tallyhouse.llm.ranges import range_of, splitters_for
 from tallyhouse.session import stage
 
 RANGE_ROWS = 50_000
+#: Revisits that meet one copy of a response.
+SHARE_ROWS = 20_000
 # Header fields that a 304 response may update (HTTP semantics, 15.4.5).
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "last-modified", "vary")
 
@@ -113,7 +116,7 @@ def resolutions(records: DataFrame) -> DataFrame:
     earlier = Window.partitionBy("range", "url_key").orderBy("ts").rangeBetween(Window.unboundedPreceding, -1)
     latest = ranged.withColumn("own", F.max(answer).over(earlier)).filter("NOT full")
     joined = latest.join(
-        F.broadcast(carried),
+        carried,
         (latest["range"] == carried["to"]) & (latest["url_key"] == carried["carried_url"]),
         "left",
     ).withColumn("found", F.coalesce("own", "carried"))
@@ -158,32 +161,40 @@ def handed_on(full: DataFrame, cut_keys: list[int], answer: Column) -> DataFrame
     )
 
 
+def shared_out(resolved: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The resolved revisits of a written table with their `share` of a response, and response_id, shares of the hot ones.
+
+    A share is dealt by the row's place in the table, so that equal rows are spread as well and a task run again
+    deals the same.
+    """
+    named = resolved.groupBy("response_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > SHARE_ROWS)
+    hot = stage(named.select("response_id", F.ceil(F.col("n") / SHARE_ROWS).alias("shares")), "hot-responses")
+    placed = resolved.withColumn("share", F.monotonically_increasing_id()).join(hot, "response_id", "left")
+    share = F.coalesce(F.pmod("share", "shares"), F.lit(0).cast("long"))
+    return placed.withColumn("share", share).drop("shares"), hot
+
+
 def resolve(records: DataFrame) -> DataFrame:
     """record_id, url_key, ts, outcome, response_id, payload and headers of every revisit."""
-    found = resolutions(records)
+    found = stage(resolutions(records), "resolutions")
+    dealt, hot = shared_out(found.filter("response_id IS NOT NULL"))
     stored = records.filter("type = 'response' AND status = 200").select(
-        F.struct(F.col("record_id").alias("id"), F.lit(True).alias("stands")).alias("stored_key"),
+        F.col("record_id").alias("response_id"),
         F.struct("ts", header("headers", "etag").alias("etag"), header("headers", "last-modified")).alias("order"),
         F.struct("payload", lower_names(known_headers()).alias("stored")).alias("body"),
     )
+    shares = F.sequence(F.lit(0).cast("long"), F.coalesce("shares", F.lit(1).cast("long")) - 1)
+    copies = stored.join(hot, "response_id", "left").withColumn("share", F.explode(shares))
     # A response may be stored in many rows: one of them, by the order of the search, stands. Grouped
-    # by the one key of the join, so that payloads are dealt once.
-    stored = stored.groupBy("stored_key").agg(F.max_by("body", "order").alias("body"))
-    stored = stored.select("stored_key", "body.*")
-    # An unresolved revisit joins by its own id, which no response has under this flag, so that
-    # those without a response are not all dealt to one task.
-    headers = merged_headers(F.col("stored"), F.col("headers"))
-    key = F.struct(
-        F.coalesce(found["response_id"], found["record_id"]).alias("id"),
-        found["response_id"].isNotNull().alias("stands"),
-    )
-    joined = found.join(stored, key == stored["stored_key"], "left")
-    return joined.select(
-        "record_id",
-        "url_key",
-        "ts",
-        "outcome",
-        "response_id",
-        "payload",
-        F.when(F.col("response_id").isNotNull(), headers).alias("headers"),
+    # by the keys of the join, so that payloads are dealt once.
+    copies = copies.groupBy("response_id", "share").agg(F.max_by("body", "order").alias("body"))
+    joined = dealt.join(copies, ["response_id", "share"])
+    rows = ["record_id", "url_key", "ts", "outcome", "response_id"]
+    answered = joined.select(
+        *rows,
+        F.col("body")["payload"].alias("payload"),
+        merged_headers(F.col("body")["stored"], F.col("headers")).alias("headers"),
     )
+    kinds = {field.name: field.dataType for field in answered.schema}
+    nothing = [F.lit(None).cast(kinds[name]).alias(name) for name in ("payload", "headers")]
+    return answered.unionByName(found.filter("response_id IS NULL").select(*rows, *nothing))

@@ -71,6 +71,24 @@ def test_agrees_with_plain_search(spark, monkeypatch, range_rows):
     assert {o[0] for o in plain(rows).values()} == {"resolved", "mismatch", "no_validator", "no_response"}
 
 
+def test_a_response_of_many_revisits_is_shared_out(spark, monkeypatch):
+    """A third of all records, equal rows among them, stand for one response."""
+    monkeypatch.setattr(revisits, "SHARE_ROWS", 40)
+    rows = records(seed=9, n=400)
+    rows.append((9_000, "response", 200, "http://one.org/", 1, "the one", {"ETag": '"h"', "Vary": "a"}))
+    rows += [(9_001 + i, "revisit", 304, "http://one.org/", 5 + i % 7, None, {"ETag": '"h"'}) for i in range(300)]
+    equal = [(9_500, "revisit", 304, "http://one.org/", 6, None, {"ETag": '"h"', "Vary": "b"})] * 200
+    df = spark.createDataFrame(rows + equal, SCHEMA).repartition(6)
+    found = revisits.resolve(df).collect()
+    assert {r.record_id: (r.outcome, r.response_id, r.payload, r.headers) for r in found} == plain(rows + equal[:1])
+    assert sum(r.record_id == 9_500 for r in found) == 200
+    written = revisits.stage(revisits.resolutions(df), "resolutions")
+    dealt, hot = revisits.shared_out(written.filter("response_id IS NOT NULL"))
+    assert (9_000, 13) in [tuple(r) for r in hot.collect()]
+    sizes = [r["count"] for r in dealt.filter("response_id = 9000").groupBy("share").count().collect()]
+    assert len(sizes) == 13 and max(sizes) <= 2 * 500 / 13
+
+
 def test_repeated_response_resolves_a_revisit_once(spark):
     stored = (1, "response", 200, "http://a.b/", 5, "x", {"ETag": '"1"'})
     earlier = (1, "response", 200, "http://a.b/", 4, "old", {"ETag": '"1"'})
