@@ -10,7 +10,7 @@ group is cut between records.
 So shard sizes differ from the mean by at most `GROUP_SHARE` of a shard or one record, whichever is
 larger, and `slot` numbers the records of a shard without gaps in that order.
 
-Defined results: a null text counts as empty (size 1). A null id sorts first. Rows that agree
+Defined results: a null text counts as empty (size 1). A null id sorts first, ids that are no whole numbers by their hash. Rows that agree
 in text and id are ordered by a hash over all columns; rows equal in every column are
 interchangeable. Columns of the input named like one that is added are replaced. An empty table
 gives an empty result.
@@ -22,8 +22,10 @@ from math import ceil
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from tallyhouse.llm.ranges import NO_ID, Splitters, range_of, splitters_for
+from tallyhouse.llm.rows import row_hash
 from tallyhouse.session import stage
 
 SHARDS = 8
@@ -35,14 +37,16 @@ KEY, ID, TIE, RANGE, START, NTH = (f"_shard_{x}" for x in ("key", "id", "tie", "
 
 
 def keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """df with its key (60 bits of the text's MD5), id, size in bytes and row hash."""
+    """df with its key (60 bits of the text's MD5), id (its hash if it is no whole number), size in bytes and row hash."""
     text = F.coalesce(F.col(text_col), F.lit(""))
+    whole = isinstance(df.select(id_col).schema[0].dataType, IntegralType)
+    row_id = F.col(id_col).cast("long") if whole else F.when(F.col(id_col).isNotNull(), F.xxhash64(id_col))
     return df.withColumns(
         {
             KEY: F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long"),
-            ID: F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)),
+            ID: F.coalesce(row_id, F.lit(NO_ID)),
             "size": (F.octet_length(text) + 1).cast("long"),
-            TIE: F.xxhash64(*df.columns),
+            TIE: row_hash(df, 0),
         }
     )
 

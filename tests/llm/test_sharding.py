@@ -75,6 +75,19 @@ def test_overfull_ranges_are_cut_again(spark):
     assert max(r["count"] for r in weights.collect()) * 10 <= ranges.OVERFULL * 50_000 / 40
 
 
+def test_text_ids_and_nested_columns(spark):
+    """Ids of any type; rows that differ in a null inside a column alone have places of their own."""
+    made = [(f"doc-{i % 40}", "same" if i % 3 else f"text {i}", [None, str(i)], {"k": i}) for i in range(120)]
+    docs = spark.createDataFrame([*made, (None, None, None, None)], "doc_id string, text string, a array<string>, m map<string,int>")
+    found = sharding.shard_by_bytes(docs).collect()
+    assert len(found) == 121
+    for shard in {r.shard for r in found}:
+        slots = sorted(r.slot for r in found if r.shard == shard)
+        assert slots == list(range(len(slots)))
+    again = sharding.shard_by_bytes(docs.repartition(5)).collect()
+    assert sorted(map(str, found)) == sorted(map(str, again))
+
+
 def test_range_of_agrees_with_comparison(spark):
     splitters = [(-5, 0), (1, -3), (1, 4), (1, 9), (2, 2), (9, 9)]
     points = [(k, i) for k in range(-6, 11) for i in range(-4, 11)]
