@@ -1,12 +1,13 @@
 """CSV whose quoted fields hold newlines, read by many tasks from one file.
 
-A line starts a record if an even number of quotes stands before it in its file. Each split counts the quotes
-and the record starts of its lines, for either parity of what came before; a running total over the splits
-of a file then tells every split its parity and its first record's number. Lines of one record, also
+A line starts a record if an even number of quotes stands before it in its file. Chunks of the lines of a split count
+their quotes and record starts, for either parity of what came before; running totals over the chunks of a split and
+over the splits of a file then tell every chunk its parity and its first record's number. Lines of one record, also
 across splits, are joined again and parsed by Spark's own CSV parser.
 
-The lines of a split are one task's work, as in any read. The table of splits has one row each. Texts
-are shuffled twice, so land such a file once as Parquet.
+Lines are shuffled by chunk and then by record, over a number of tasks that follows the number of tasks that read the
+file, whatever the session's: what a task sorts is bounded by the size of a split, and windows hold one chunk. The
+table of chunks has one row each. Texts are shuffled twice, so land such a file once as Parquet.
 """
 
 from __future__ import annotations
@@ -20,6 +21,14 @@ from pyspark.sql.types import StructType
 from tallyhouse.session import stage
 from tallyhouse.sources.schemas import HOUSES_RAW
 
+# A chunk has 2 ** CHUNK_BITS lines, half of what a window keeps without a buffer on disk; a line takes
+# more room in a sort than in its file, so each task that reads gets several that shuffle.
+CHUNK_BITS = 11
+TASKS_PER_READER = 4
+
+SPLIT = ["file", "block"]
+CHUNK = [*SPLIT, "chunk"]
+
 CUT_LINE = "a line ends inside a character; read the file with read_utf16_csv: "
 
 
@@ -33,7 +42,7 @@ def quotes_in(line: Column, escape: str) -> Column:
 
 
 def lines_of(spark: SparkSession, path, encoding: str, escape: str) -> DataFrame:
-    """file, block (where the split starts), id (order in the split), line and its quotes."""
+    """file, block (where the split starts), chunk and id (order in the split), line and its quotes."""
     text = spark.read.option("encoding", encoding).option("lineSep", "\n").text(path)
     raw = F.col("value").cast("binary")
     line = F.decode(raw, encoding)
@@ -48,25 +57,61 @@ def lines_of(spark: SparkSession, path, encoding: str, escape: str) -> DataFrame
         F.monotonically_increasing_id().alias("id"),
         "value",
     )
-    lines = lines.select("file", "block", "id", F.regexp_replace(line, "\r$", "").alias("line"))
+    chunk = F.shiftright("id", CHUNK_BITS).alias("chunk")
+    lines = lines.select("file", "block", chunk, "id", F.regexp_replace(line, "\r$", "").alias("line"))
     return lines.withColumn("quotes", quotes_in(F.col("line"), escape))
 
 
-def splits_of(lines: DataFrame) -> DataFrame:
-    """file, block, odd (quotes before the split are odd in number) and records that start before it."""
-    before = Window.partitionBy("file", "block").orderBy("id").rowsBetween(Window.unboundedPreceding, -1)
-    odd = F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2
-    counted = lines.select("file", "block", "quotes", odd.alias("odd")).groupBy("file", "block").agg(
-        F.sum("quotes").alias("quotes"), F.sum(1 - F.col("odd")).alias("if_even"), F.sum("odd").alias("if_odd")
-    )
-    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    known = counted.withColumn("odd", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2)
-    starts = F.when(F.col("odd") == 0, F.col("if_even")).otherwise(F.col("if_odd"))
-    return known.withColumn("starts", starts).select(
-        "file", "block", "odd", F.coalesce(F.sum("starts").over(earlier), F.lit(0)).alias("records")
+def parted(units: DataFrame, group: list[str], order: str) -> tuple[DataFrame, Window]:
+    """Units with flip (quotes before the unit in its group are odd in number) and the record starts of the unit, for
+    either parity of the quotes before the group; the window of the units before."""
+    before = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    flips = units.withColumn("flip", F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2)
+    even = F.col("flip") == 0
+    starts = {"if_even": F.when(even, F.col("if_even")).otherwise(F.col("if_odd"))}
+    starts["if_odd"] = F.when(even, F.col("if_odd")).otherwise(F.col("if_even"))
+    return flips.withColumns(starts), before
+
+
+def totals(units: DataFrame, group: list[str], order: str) -> DataFrame:
+    """Each group's quotes and record starts, for either parity of the quotes before it."""
+    return parted(units, group, order)[0].groupBy(*group).agg(*[F.sum(c).alias(c) for c in ("quotes", "if_even", "if_odd")])
+
+
+def chunks_of(lines: DataFrame, tasks: int) -> DataFrame:
+    """Totals of each chunk: file, block, chunk, quotes, if_even, if_odd."""
+    counts = lines.select(*CHUNK, "id", "quotes", F.lit(1).alias("if_even"), F.lit(0).alias("if_odd"))
+    return totals(counts.repartition(tasks, *CHUNK), CHUNK, "id")
+
+
+def starts_of(chunks: DataFrame) -> DataFrame:
+    """file, block, chunk, odd (quotes before the chunk are odd in number) and records that start before it."""
+    splits, before = parted(totals(chunks, SPLIT, "chunk"), ["file"], "block")
+    earlier = F.coalesce(F.sum("if_even").over(before), F.lit(0))
+    splits = splits.select(*SPLIT, F.col("flip").alias("odd"), earlier.alias("records"))
+    inside, before = parted(chunks, SPLIT, "chunk")
+    even, odd = (F.coalesce(F.sum(c).over(before), F.lit(0)) for c in ("if_even", "if_odd"))
+    inside = inside.select(*CHUNK, "flip", even.alias("even"), odd.alias("uneven"))
+    earlier = F.when(F.col("odd") == 0, F.col("even")).otherwise(F.col("uneven"))
+    return inside.join(splits, SPLIT).select(
+        *CHUNK, ((F.col("odd") + F.col("flip")) % 2).alias("odd"), (F.col("records") + earlier).alias("records")
     )
 
 
+def numbered(lines: DataFrame, starts: DataFrame, tasks: int) -> DataFrame:
+    """Lines with the number of their record in their file, from 1.
+
+    What stands before a chunk comes as a line before its first, so that no join orders the lines anew.
+    """
+    heads = starts.select(*CHUNK, F.lit(-1).alias("id"), F.lit(None).alias("line"), F.col("odd").alias("quotes"), "records")
+    rows = lines.withColumn("records", F.lit(0)).unionByName(heads).repartition(tasks, *CHUNK)
+    within = Window.partitionBy(*CHUNK).orderBy("id")
+    so_far = F.sum("quotes").over(within.rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.withColumn("start", F.when(F.col("id") < 0, F.col("records")).otherwise((so_far + 1) % 2))
+    number = F.sum("start").over(within.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return rows.withColumn("record", number).filter(F.col("id") >= 0).select("file", "record", "block", "id", "line")
+
+
 def read_split_csv(
     spark: SparkSession,
     path,
@@ -83,12 +128,9 @@ def read_split_csv(
     Runs a job when called, to count quotes.
     """
     lines = lines_of(spark, path, encoding, escape)
-    splits = stage(splits_of(lines), "csv-splits")
-    within = Window.partitionBy("file", "block").orderBy("id")
-    so_far = F.coalesce(F.sum("quotes").over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    placed = lines.join(splits, ["file", "block"]).withColumn("start", (so_far + F.col("odd")) % 2 == 0)
-    number = F.col("records") + F.sum(F.col("start").cast("int")).over(within)
-    placed = placed.withColumn("record", number)
+    tasks = TASKS_PER_READER * max(1, lines.rdd.getNumPartitions())
+    chunks = stage(chunks_of(lines, tasks), "csv-chunks")
+    placed = numbered(lines, starts_of(chunks), tasks).repartition(tasks, "file", "record")
     parts = F.array_sort(F.collect_list(F.struct("block", "id", "line")))
     records = placed.groupBy("file", "record").agg(F.array_join(F.transform(parts, lambda p: p["line"]), "\n").alias("text"))
     # The header is a file's first record; blank lines are none.
